@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stocktake.sources.files import rows_digest
+from stocktake.sources.tables import spread_small_scan
 
 REGISTER_FILE = "carga_patrimonial.csv"
 # Areas carry the nation key; register and readings are shifted against it, so
@@ -25,8 +26,18 @@ REGISTER_FILE = "carga_patrimonial.csv"
 AREA_SHIFT = 2
 
 
+# The larger tables and the columns that tell their rows apart.
+LARGE = {
+    "orders": ("o_orderkey",),
+    "lineitem": ("l_orderkey", "l_partkey", "l_suppkey"),
+    "events": ("event_id",),
+    "documents": ("doc_id",),
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread_small_scan(df, *LARGE[name]) if name in LARGE else df
 
 
 def cycle(key: Column, *choices: Column | str) -> Column:

@@ -18,9 +18,32 @@ NAME_PARTICLES = ("de", "da", "do", "das", "dos", "e")
 BLANK_RUN = r"[ \t\n\f\r]+"
 
 
+def _by_script(text: Column, plain: Column, exact: Column) -> Column:
+    """The plain, much cheaper functions where the text is ASCII.
+
+    Texts are matched once per cleaned value, so cleaning steps are combined
+    below rather than nested.
+    """
+    return F.when(F.octet_length(text) == F.length(text), plain).otherwise(exact)
+
+
+def _separators_off(text: Column) -> Column:
+    return F.btrim(text, F.lit(SPACE_SEPARATORS))
+
+
+def _exact_lower(text: Column) -> Column:
+    """Character by character: no word-final sigma, no combining dot."""
+    return F.lower(F.translate(text, "İΣ", "iσ"))
+
+
+def _exact_upper(text: Column) -> Column:
+    """A sharp s becomes the capital one, not two letters."""
+    return F.upper(F.translate(text, "ß", "ẞ"))
+
+
 def strip(text: Column) -> Column:
     """Remove outer space separators; tabs and line breaks stay."""
-    return F.btrim(text, F.lit(SPACE_SEPARATORS))
+    return _by_script(text, F.trim(text), _separators_off(text))
 
 
 def squeeze(text: Column) -> Column:
@@ -32,23 +55,17 @@ def blank_to_null(text: Column) -> Column:
     return F.nullif(text, F.lit(""))
 
 
-def lower(text: Column) -> Column:
-    """Lower case, character by character: no word-final sigma, no combining dot."""
-    return F.lower(F.translate(text, "İΣ", "iσ"))
-
-
-def upper(text: Column) -> Column:
-    """Upper case; a sharp s becomes the capital one, not two letters."""
-    return F.upper(F.translate(text, "ß", "ẞ"))
+def normal_lower(text: Column) -> Column:
+    return _by_script(text, F.lower(F.trim(text)), _exact_lower(_separators_off(text)))
 
 
 def normal_upper(text: Column) -> Column:
-    return upper(strip(text))
+    return _by_script(text, F.upper(F.trim(text)), _exact_upper(_separators_off(text)))
 
 
 def token_or(text: Column, default: str) -> Column:
     """Lower-case token, with ``default`` for NULL and blank."""
-    return F.coalesce(blank_to_null(lower(strip(text))), F.lit(default))
+    return F.coalesce(blank_to_null(normal_lower(text)), F.lit(default))
 
 
 def drop_leading_words(text: Column, *words: str) -> Column:
@@ -59,11 +76,11 @@ def drop_leading_words(text: Column, *words: str) -> Column:
 
 def proper_name(text: Column, particles: Sequence[str] = NAME_PARTICLES) -> Column:
     """Squeezed text with every word capitalised except the particles."""
-    words = F.split(lower(squeeze(text)), " ")
+    words = F.split(normal_lower(F.regexp_replace(text, BLANK_RUN, " ")), " ")
     capitalised = F.transform(
         words,
         lambda w: F.when(w.isin(*particles), w).otherwise(
-            F.concat(upper(F.substring(w, 1, 1)), F.substring(w, 2, 2**31 - 1))
+            F.concat(_exact_upper(F.substring(w, 1, 1)), F.substring(w, 2, 2**31 - 1))
         ),
     )
     return F.array_join(capitalised, " ")
@@ -71,7 +88,7 @@ def proper_name(text: Column, particles: Sequence[str] = NAME_PARTICLES) -> Colu
 
 def label_by_prefix(text: Column, labels: Mapping[str, str]) -> Column:
     """Label of the first prefix the normalised text starts with, else NULL."""
-    token = lower(strip(text))
+    token = normal_lower(text)
     label = F
     for prefix, value in labels.items():
         label = label.when(token.startswith(prefix), F.lit(value))

@@ -94,16 +94,19 @@ READINGS = Source(
 )
 
 
-def ingest_source(spark: SparkSession, source: Source, raw: str, bronze: str) -> int:
-    folder = f"{raw}/{source.subfolder}".rstrip("/")
-    table = VersionedTable(spark, f"{bronze}/{source.table}")
+def land(spark: SparkSession, source: Source, listing: DataFrame, bronze: str) -> int:
+    """Ingest the listed files of a source; the number of versions written."""
 
     def read_rows(files: DataFrame) -> DataFrame:
         return source.read(spark, local_names([r["path"] for r in files.select("path").toLocalIterator()]))
 
-    return ingest(table, list_files(spark, folder, source.glob), read_rows, source.mode)
+    return ingest(VersionedTable(spark, f"{bronze}/{source.table}"), listing, read_rows, source.mode)
 
 
 def run_bronze(spark: SparkSession, raw: str, bronze: str) -> int:
     """Ingest all sources of a drop folder; the number of versions written."""
-    return sum(ingest_source(spark, source, raw, bronze) for source in (AREAS, REGISTER, READINGS))
+    written = 0
+    for source in (AREAS, REGISTER, READINGS):
+        folder = f"{raw}/{source.subfolder}".rstrip("/")
+        written += land(spark, source, list_files(spark, folder, source.glob), bronze)
+    return written

@@ -11,26 +11,28 @@ from pyspark.sql import functions as F
 WHOLE_FILE_BYTES = 256 * 1024 * 1024
 
 
-def list_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
-    """One row per file: ``arquivo_origem, path, tamanho, hash_arquivo``.
+def list_files(spark: SparkSession, where: str | list[str], glob: str = "*") -> DataFrame:
+    """One row per file of a folder (or of several paths).
+
+    Columns are ``arquivo_origem, path, tamanho, hash_arquivo``.
 
     The fingerprint is the SHA-256 of the bytes. Files above
     ``WHOLE_FILE_BYTES`` do not fit one value and get the digest of their lines.
     """
-    return fingerprint(spark, folder, glob, WHOLE_FILE_BYTES)
+    return fingerprint(spark, where, glob, WHOLE_FILE_BYTES)
 
 
-def fingerprint(spark: SparkSession, folder: str, glob: str, whole_limit: int) -> DataFrame:
+def fingerprint(spark: SparkSession, where: str | list[str], glob: str, whole_limit: int) -> DataFrame:
     whole = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
-        .load(folder)
+        .load(where)
         .filter(F.col("length") <= whole_limit)
         .select("_metadata.file_path", "_metadata.file_name", "length", F.sha2("content", 256).alias("hash_arquivo"))
     )
     lines = (
         spark.read.option("pathGlobFilter", glob)
-        .text(folder)
+        .text(where)
         .select("value", "_metadata.file_path", "_metadata.file_name", F.col("_metadata.file_size").alias("length"))
         .filter(F.col("length") > whole_limit)
         .groupBy("file_path", "file_name", "length")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # The received reading origins, their official name and capture type.
 READING_ORIGINS = (
@@ -22,9 +21,16 @@ READING_ORIGIN_COLUMNS = ("origem_recebida", "origem_leitura", "tipo_captura")
 
 
 def text_seed(spark: SparkSession, rows: Sequence[Sequence[str]], columns: Sequence[str]) -> DataFrame:
-    """A lookup given as literals in the code, every column text."""
-    entries = [F.struct(*(F.lit(v).alias(c) for c, v in zip(columns, row))) for row in rows]
-    return spark.range(1).select(F.inline(F.array(*entries)))
+    """A lookup given as literals in the code, every column text.
+
+    A VALUES list has an exact size, so Catalyst knows that it can broadcast it.
+    """
+
+    def quoted(value: str) -> str:
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    values = ", ".join("(" + ", ".join(map(quoted, row)) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS seed({', '.join(columns)})")
 
 
 def read_seed(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
