@@ -282,8 +282,7 @@ def bronze_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_summary(df: DataFrame) -> DataFrame:
-    summed = batch_summary(df, ["event_type"]).drop("ultima_ingestao")
-    return summed.join(df.groupBy("event_type").agg(F.max("_arquivo_origem").alias("ultimo_lote")), "event_type")
+    return batch_summary(df, ["event_type"], latest="_arquivo_origem", latest_as="ultimo_lote")
 
 
 @query

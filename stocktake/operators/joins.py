@@ -2,10 +2,12 @@
 
 ``spread_join`` adds one more join key. Rows whose key has a NULL part can
 match nothing, so they get a scattered value there and spread over all tasks;
-every other row gets zero and joins as usual. Both sides then meet in their
-own exchange, which is the shape adaptive execution needs to split a skewed
-partition. No broadcast is hinted: Catalyst and adaptive execution broadcast a
-side after looking at its size, and shuffle beyond the threshold.
+every other row gets zero and joins as usual. With that key neither side can
+reuse an earlier partitioning, so both meet in an exchange of their own, which
+is the shape adaptive execution needs to split the partition of a hot key. The
+price is one more shuffle of a side that was already grouped by the key. No
+broadcast is hinted: Catalyst and adaptive execution broadcast a side after
+looking at its size, and shuffle beyond the threshold.
 """
 
 from __future__ import annotations
@@ -37,9 +39,10 @@ def spread_join(
     (all of them by default); naming few lets the others be pruned.
     """
     scattered = F.pmod(F.xxhash64(*(scatter_by or left.columns)), F.lit(SCATTER)).cast("int")
-    spread = left.withColumn("_spread", F.when(_complete(keys), 0).otherwise(scattered))
-    # Not a plain literal: a constant would be folded out of the join keys.
-    anchored = right.withColumn("_spread", F.when(_complete(keys), 0))
+    # Always zero, but no constant: that would be folded out of the join keys.
+    zero = F.pmod(F.hash(*keys), F.lit(1))
+    spread = left.withColumn("_spread", F.when(_complete(keys), zero).otherwise(scattered))
+    anchored = right.withColumn("_spread", zero)
     return spread.join(anchored, [*keys, "_spread"], how).select(
         *left.columns, *([] if how in ("left_semi", "left_anti") else [c for c in right.columns if c not in keys])
     )
@@ -55,13 +58,16 @@ def left_lookup(
 def unmatched(
     df: DataFrame, other: DataFrame, keys: Sequence[str], scatter_by: Sequence[str] | None = None
 ) -> DataFrame:
-    """Rows without a partner; a NULL key part never matches, so such rows stay."""
-    return spread_join(df, other.select(*keys), keys, "left_anti", scatter_by)
+    """Rows without a partner; a NULL key part never matches, so such rows stay.
+
+    Copies of a key on the other side are merged map-side before the join.
+    """
+    return spread_join(df, other.select(*keys).distinct(), keys, "left_anti", scatter_by)
 
 
 def matched(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows with a partner, never multiplied; NULL keys go before the shuffle."""
-    return df.join(other.select(*keys), list(keys), "left_semi")
+    return spread_join(df, other.select(*keys).distinct(), keys, "left_semi")
 
 
 def known_or_default(

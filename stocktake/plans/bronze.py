@@ -161,10 +161,12 @@ def compare_versions(
     return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
 
 
-def batch_summary(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows, batches and last ingestion per key."""
+def batch_summary(
+    df: DataFrame, keys: Sequence[str], latest: str = "_ingerido_em", latest_as: str = "ultima_ingestao"
+) -> DataFrame:
+    """Rows, batches and the latest ingestion (or other text) per key."""
     return df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("leituras"),
         F.countDistinct("_arquivo_origem").alias("lotes"),
-        F.max("_ingerido_em").alias("ultima_ingestao"),
+        F.max(latest).alias(latest_as),
     )

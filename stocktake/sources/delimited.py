@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stocktake.sources.files import file_columns
+
 
 def has_open_quotes(spark: SparkSession, paths: Sequence[str], charset: str) -> bool:
     """Whether some quoted value runs over a line end.
@@ -45,8 +47,3 @@ def read_delimited(
         .csv(list(paths))
     )
     return rows.na.fill("").select(*rows.columns, *file_columns())
-
-
-def file_columns() -> list:
-    """Where a scanned row came from."""
-    return [F.col("_metadata.file_name").alias("_arquivo_origem"), F.col("_metadata.file_path").alias("_path")]

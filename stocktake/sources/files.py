@@ -11,6 +11,19 @@ from pyspark.sql import functions as F
 WHOLE_FILE_BYTES = 256 * 1024 * 1024
 
 
+def plain_name(encoded: Column) -> Column:
+    """Scans report names URL-encoded; a plus sign is not a blank there."""
+    return F.coalesce(F.try_url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B"))), encoded)
+
+
+def file_columns() -> list[Column]:
+    """Where a scanned row came from: the file's name and its path as reported."""
+    return [
+        plain_name(F.col("_metadata.file_name")).alias("_arquivo_origem"),
+        F.col("_metadata.file_path").alias("_path"),
+    ]
+
+
 def list_files(spark: SparkSession, where: str | list[str], glob: str = "*") -> DataFrame:
     """One row per file of a folder (or of several paths).
 
@@ -39,7 +52,7 @@ def fingerprint(spark: SparkSession, where: str | list[str], glob: str, whole_li
         .agg(rows_digest("value").alias("hash_arquivo"))
     )
     return whole.unionByName(lines).select(
-        F.col("file_name").alias("arquivo_origem"),
+        plain_name(F.col("file_name")).alias("arquivo_origem"),
         F.col("file_path").alias("path"),
         F.col("length").alias("tamanho"),
         "hash_arquivo",
@@ -59,7 +72,7 @@ def rows_digest(*columns: str) -> Column:
 
 
 def local_names(paths: Sequence[str]) -> list[str]:
-    """Metadata paths are URL-encoded; readers take them decoded."""
+    """Reported paths as readers take them, decoded."""
     from urllib.parse import unquote
 
     return [unquote(p) for p in paths]

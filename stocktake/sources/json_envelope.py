@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stocktake.sources.delimited import file_columns
+from stocktake.sources.files import file_columns
 
 
 def text_schema(schema: T.DataType) -> T.DataType:

@@ -19,6 +19,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stocktake.sources.files import plain_name
+
 # Executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -55,7 +57,7 @@ def sheets_to_rows(books: DataFrame, columns: Sequence[str] | None = None) -> Da
         columns = sorted(r["name"] for r in names.collect())  # a sheet has 16 384 columns at most
     return rows.select(
         *(F.col("_valores").getItem(c).alias(c) for c in columns),
-        F.element_at(F.split("_path", "/"), -1).alias("_arquivo_origem"),
+        plain_name(F.element_at(F.split("_path", "/"), -1)).alias("_arquivo_origem"),
         "_path",
         "_linha",
     )

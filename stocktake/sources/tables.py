@@ -28,10 +28,10 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
 
 
 def spread_small_scan(df: DataFrame, *columns: str) -> DataFrame:
-    """Redistribute a scan of far fewer splits than there are cores.
+    """Redistribute a scan of fewer splits than there are cores.
 
     A small file in one row group is read by one task, which would then do all
     the work behind the scan alone. Larger scans are left as they are.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *columns) if 2 * df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *columns) if df.rdd.getNumPartitions() < cores else df
