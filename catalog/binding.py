@@ -8,15 +8,11 @@ row of the tables is used; the key only decides which spelling a row gets.
 
 from __future__ import annotations
 
-import io
-import zipfile
-from collections.abc import Iterator
-from xml.sax.saxutils import escape
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from catalog import workbooks
 from stocktake.sources.files import rows_digest
 from stocktake.sources.tables import spread_small_scan
 
@@ -35,8 +31,15 @@ LARGE = {
 }
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its schema is read from the file the first time only."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    df = spark.read.schema(_SCHEMAS[path]).parquet(path)
     return spread_small_scan(df, *LARGE[name]) if name in LARGE else df
 
 
@@ -277,40 +280,4 @@ def customer_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 def customer_workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as small workbooks, one per record batch: ``path, content``."""
     rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal", "c_nationkey")
-    return rows.mapInPandas(_workbooks, "path string, content binary")
-
-
-def _workbooks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        path = f"clientes_{batch['c_custkey'].min()}.xlsx"
-        yield pd.DataFrame({"path": [path], "content": [workbook(batch)]})
-
-
-def workbook(batch: pd.DataFrame) -> bytes:
-    """A minimal workbook: text, numbers, a date cell and blanks."""
-
-    def text(value: str) -> str:
-        return f'<c t="inlineStr"><is><t xml:space="preserve">{escape(value)}</t></is></c>' if value else "<c/>"
-
-    header = "".join(text(c) for c in ("codigo", "nome", "segmento", "saldo", "atualizado_em"))
-    lines = [f"<row>{header}</row>"]
-    for key, name, segment, balance, nation in batch.itertuples(index=False):
-        blank = "" if key % 5 == 0 else segment
-        cells = f'<c><v>{key}</v></c>{text(name)}{text(blank)}<c><v>{balance!r}</v></c><c s="1"><v>{46023 + nation}</v></c>'
-        lines.append(f"<row>{cells}</row>")
-    main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
-    links = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
-    package = "http://schemas.openxmlformats.org/package/2006/relationships"
-    parts = {
-        "xl/workbook.xml": f'<workbook xmlns="{main}" xmlns:r="{links}"><sheets>'
-        '<sheet name="Plan1" sheetId="1" r:id="rId1"/></sheets></workbook>',
-        "xl/_rels/workbook.xml.rels": f'<Relationships xmlns="{package}"><Relationship Id="rId1" '
-        f'Type="{links}/worksheet" Target="worksheets/sheet1.xml"/></Relationships>',
-        "xl/styles.xml": f'<styleSheet xmlns="{main}"><cellXfs><xf numFmtId="0"/><xf numFmtId="14"/></cellXfs></styleSheet>',
-        "xl/worksheets/sheet1.xml": f'<worksheet xmlns="{main}"><sheetData>{"".join(lines)}</sheetData></worksheet>',
-    }
-    buffer = io.BytesIO()
-    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as book:
-        for name, part in parts.items():
-            book.writestr(name, f'<?xml version="1.0" encoding="UTF-8"?>{part}')
-    return buffer.getvalue()
+    return rows.mapInPandas(workbooks.write_books, "path string, content binary")

@@ -66,6 +66,11 @@ def area_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.dim_area(areas(spark, sf_dir))
 
 
+def states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact for questions that do not ask for areas."""
+    return gold.asset_states(register(spark, sf_dir), readings(spark, sf_dir))
+
+
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.fact(register(spark, sf_dir), readings(spark, sf_dir), area_dimension(spark, sf_dir))
 
@@ -502,12 +507,12 @@ def layer_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fact_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fact(spark, sf_dir).select(*silver.ASSET, "situacao_inventario")
+    return states(spark, sf_dir).select(*silver.ASSET, "situacao_inventario")
 
 
 @query
 def fact_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fact(spark, sf_dir).select(
+    return states(spark, sf_dir).select(
         *silver.ASSET, *rules.FLAGS, "quantidade_leituras", "data_ultima_leitura", "valor_nao_localizado"
     )
 
@@ -517,7 +522,7 @@ def fact_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def rate_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.rate_by_year(fact(spark, sf_dir))
+    return reports.rate_by_year(states(spark, sf_dir))
 
 
 @query
@@ -537,7 +542,7 @@ def role_playing_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def capture_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.capture_mix(fact(spark, sf_dir), gold.dim_origin(reading_origins(spark)))
+    return reports.capture_mix(states(spark, sf_dir), gold.dim_origin(reading_origins(spark)))
 
 
 @query
@@ -576,7 +581,7 @@ def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq_unique_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.repeated_keys(fact(spark, sf_dir), silver.ASSET)
+    return quality.repeated_keys(states(spark, sf_dir), silver.ASSET)
 
 
 @query
@@ -593,14 +598,14 @@ def dq_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq_exclusive_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.not_exclusive(fact(spark, sf_dir), silver.ASSET, rules.FLAGS)
+    return quality.not_exclusive(states(spark, sf_dir), silver.ASSET, rules.FLAGS)
 
 
 @query
 def dq_no_row_lost(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Against a quarantine that forgot the readings without a number."""
     incomplete = rejected(spark, sf_dir).filter(F.col("motivo") == silver.NOT_IN_REGISTER)
-    return quality.lost_rows(readings(spark, sf_dir), fact(spark, sf_dir), incomplete)
+    return quality.lost_rows(readings(spark, sf_dir), states(spark, sf_dir), incomplete)
 
 
 @query

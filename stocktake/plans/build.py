@@ -11,7 +11,7 @@ from stocktake.plans.bronze import VersionedTable
 from stocktake.plans.quality import run_checks
 from stocktake.plans.rules import ALL_CHECKS
 from stocktake.sources.seed import reading_origins
-from stocktake.sources.tables import write_table
+from stocktake.sources.tables import read_table, write_table
 
 
 @dataclass(frozen=True)
@@ -30,30 +30,48 @@ def current_bronze(spark: SparkSession, path: str) -> Bronze:
     return Bronze(latest("areas"), latest("carga_patrimonial"), latest("leituras_coleta"))
 
 
+# Layer tables in build order: name -> folder below the output path.
+FOLDERS = {
+    "stg_areas": "silver",
+    "stg_carga_patrimonial": "silver",
+    "stg_leituras": "silver",
+    "qrt_leituras_rejeitadas": "quarentena",
+    "dim_area": "gold",
+    "dim_origem_leitura": "gold",
+    "fato_bem_inventariado": "gold",
+}
+SEED = "de_para_origem_leitura"
+
+
 def build_layers(bronze: Bronze, path: str) -> dict[str, DataFrame]:
     """Write Silver, quarantine and Gold below ``path``.
 
     A table that several later steps read is computed once, a lost executor
     costs one step and not the chain, and each join sees real table sizes.
     """
-    spark = bronze.areas.sparkSession
-    tables: dict[str, DataFrame] = {"de_para_origem_leitura": reading_origins(spark)}
-    origins = tables["de_para_origem_leitura"]
+    origins = reading_origins(bronze.areas.sparkSession)
+    tables: dict[str, DataFrame] = {SEED: origins}
 
-    def keep(layer: str, name: str, df: DataFrame, *partition_by: str) -> DataFrame:
-        tables[name] = write_table(df, f"{path}/{layer}/{name}", partition_by)
+    def keep(name: str, df: DataFrame, *partition_by: str) -> DataFrame:
+        tables[name] = write_table(df, f"{path}/{FOLDERS[name]}/{name}", partition_by)
         return tables[name]
 
-    areas = keep("silver", "stg_areas", silver.stg_areas(bronze.areas))
-    register = keep("silver", "stg_carga_patrimonial", silver.stg_register(bronze.register))
-    readings = keep("silver", "stg_leituras", silver.stg_readings(bronze.readings, origins))
-    keep("quarentena", "qrt_leituras_rejeitadas", silver.quarantine(readings, register))
-    dimension = keep("gold", "dim_area", gold.dim_area(areas))
-    keep("gold", "dim_origem_leitura", gold.dim_origin(origins))
-    keep("gold", "fato_bem_inventariado", gold.fact(register, readings, dimension), "exercicio")
+    areas = keep("stg_areas", silver.stg_areas(bronze.areas))
+    register = keep("stg_carga_patrimonial", silver.stg_register(bronze.register))
+    readings = keep("stg_leituras", silver.stg_readings(bronze.readings, origins))
+    keep("qrt_leituras_rejeitadas", silver.quarantine(readings, register))
+    dimension = keep("dim_area", gold.dim_area(areas))
+    keep("dim_origem_leitura", gold.dim_origin(origins))
+    keep("fato_bem_inventariado", gold.fact(register, readings, dimension), "exercicio")
     return tables
 
 
+def open_layers(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The tables of an earlier build."""
+    tables = {name: read_table(spark, f"{path}/{folder}/{name}") for name, folder in FOLDERS.items()}
+    return {SEED: reading_origins(spark), **tables}
+
+
 def check_layers(tables: dict[str, DataFrame]) -> DataFrame:
     """The report over all rules."""
     return run_checks(ALL_CHECKS, tables)

@@ -73,10 +73,14 @@ def flag(condition: Column) -> Column:
     return F.when(condition, 1).otherwise(0)
 
 
-def fact(register: DataFrame, readings: DataFrame, areas: DataFrame) -> DataFrame:
-    """One row per active asset and year; ``areas`` is the area dimension."""
+def asset_states(register: DataFrame, readings: DataFrame) -> DataFrame:
+    """One row per active asset and year with state, flags and measures.
+
+    The two area ids still hold the codes as received, which is also what the
+    state compares: two unknown areas are only equal if their codes are.
+    """
     read, registered = F.col("codigo_area_leitura"), F.col("codigo_area_carga")
-    measured = assets_with_reading(register, readings).select(
+    return assets_with_reading(register, readings).select(
         *ASSET,
         registered.alias("area_carga_id"),
         read.alias("area_leitura_id"),
@@ -92,9 +96,11 @@ def fact(register: DataFrame, readings: DataFrame, areas: DataFrame) -> DataFram
         .otherwise(F.lit(0).cast("decimal(14,2)"))
         .alias("valor_nao_localizado"),
     )
-    known = known_or_default(
-        measured, "area_carga_id", areas, "area_id", UNKNOWN_AREA, scatter_by=["numero_patrimonio"]
-    )
-    return known_or_default(
-        known, "area_leitura_id", areas, "area_id", UNKNOWN_AREA, keep_null=True, scatter_by=["numero_patrimonio"]
-    )
+
+
+def fact(register: DataFrame, readings: DataFrame, areas: DataFrame) -> DataFrame:
+    """The states with both area ids led to the dimension, its unknown row included."""
+    rows = ["numero_patrimonio"]
+    states = asset_states(register, readings)
+    known = known_or_default(states, "area_carga_id", areas, "area_id", UNKNOWN_AREA, scatter_by=rows)
+    return known_or_default(known, "area_leitura_id", areas, "area_id", UNKNOWN_AREA, keep_null=True, scatter_by=rows)

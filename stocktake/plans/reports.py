@@ -7,7 +7,7 @@ of a single area.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,10 +65,10 @@ def rate_two_criteria(fact: DataFrame, areas: DataFrame) -> DataFrame:
         "exercicio",
         "comarca",
         COUNT,
-        percent(anywhere, F.col(COUNT)).alias("taxa_criterio_sgm_pct"),
+        percent(anywhere, F.col(COUNT)).alias("taxa_criterio_antigo_pct"),
         percent(F.col("localizados"), F.col(COUNT)).alias("taxa_criterio_novo_pct"),
     )
-    gap = F.col("taxa_criterio_sgm_pct") - F.col("taxa_criterio_novo_pct")
+    gap = F.col("taxa_criterio_antigo_pct") - F.col("taxa_criterio_novo_pct")
     return rated.orderBy("exercicio", gap.desc_nulls_last(), "comarca")
 
 
@@ -118,3 +118,20 @@ def raw_defects(bronze: DataFrame, columns: Sequence[str], number: str, top: int
 def count_by_value(df: DataFrame, column: str, count_as: str) -> DataFrame:
     """Rows per raw value, NULL included, most frequent first."""
     return totals(df, [column], {}, count_as=count_as).orderBy(F.desc(count_as), F.asc_nulls_last(column))
+
+
+FACT, AREAS, ORIGINS, REJECTED = (
+    "fato_bem_inventariado",
+    "dim_area",
+    "dim_origem_leitura",
+    "qrt_leituras_rejeitadas",
+)
+
+QUESTIONS: dict[str, Callable[[Mapping[str, DataFrame]], DataFrame]] = {
+    "rate_by_year": lambda t: rate_by_year(t[FACT]),
+    "rate_by_region": lambda t: rate_by_region(t[FACT], t[AREAS]),
+    "rate_two_criteria": lambda t: rate_two_criteria(t[FACT], t[AREAS]),
+    "misplaced_flow": lambda t: misplaced_flow(t[FACT], t[AREAS]),
+    "capture_mix": lambda t: capture_mix(t[FACT], t[ORIGINS]),
+    "quarantine_summary": lambda t: quarantine_summary(t[REJECTED]),
+}

@@ -38,7 +38,8 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = os.path.abspath("spark-warehouse/shared")
-    spark.sparkContext.setCheckpointDir(folder)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows
+from stocktake.__main__ import main
 from stocktake.plans.bronze import APPEND, OVERWRITE, VersionedTable, all_text, batch_summary, compare_versions
 from stocktake.plans.build import build_layers, check_layers, current_bronze
 from stocktake.plans.ingest import READINGS, REGISTER, ingest, land, run_bronze, unseen_append, unseen_overwrite
@@ -291,3 +292,22 @@ def test_files_taken_in_as_they_arrive(spark, raw, bronze):
     write_batch(raw, "lote_4_copia.json", BATCHES["lote_1.json"])
     arrive()
     assert (table.latest_version(), table.snapshot().count()) == (2, 8)
+
+
+def test_command_line(spark, raw, bronze, tmp_path, capsys):
+    layers = str(tmp_path / "layers")
+    assert main(["ingest", str(raw), bronze]) == 0
+    assert "4 new version(s)" in capsys.readouterr().out
+    assert main(["build", bronze, layers]) == 0
+    assert "WARN" in capsys.readouterr().out
+    assert main(["ask", layers, "rate_by_year"]) == 0
+    assert "1300.00" in capsys.readouterr().out
+    assert main(["raw", bronze]) == 0
+    assert "123.456" in capsys.readouterr().out
+    assert main(["history", f"{bronze}/leituras_coleta", "--version", "0"]) == 0
+    assert "lote_2.json" in capsys.readouterr().out
+    assert main(["history", f"{bronze}/areas"]) == 0
+    (raw / "carga_patrimonial.csv").write_bytes((HEADER + "2026;;x;1101;1,00;ATIVO\r\n").encode("latin-1"))
+    assert main(["ingest", str(raw), bronze]) == 0
+    assert main(["build", bronze, layers]) == 1
+    assert "not_null" in capsys.readouterr().err

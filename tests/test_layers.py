@@ -167,7 +167,7 @@ def test_reports(layers, spark):
         ("Não informada", "X", 6, 50.0),
         ("Não se aplica", "Não se aplica", 1, 100.0),
     ]
-    two = rows(reports.rate_two_criteria(fact, dimension), "comarca", "taxa_criterio_sgm_pct", "taxa_criterio_novo_pct")
+    two = rows(reports.rate_two_criteria(fact, dimension), "comarca", "taxa_criterio_antigo_pct", "taxa_criterio_novo_pct")
     assert two == [("Não informada", 66.7, 33.3), ("Não se aplica", 100.0, 100.0), ("X", 66.7, 50.0)]
     flow = reports.misplaced_flow(fact, dimension)
     assert [tuple(r) for r in flow.collect()] == [

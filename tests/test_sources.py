@@ -9,6 +9,7 @@ import zipfile
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import rows
 from stocktake.sources import delimited, files, json_envelope, seed, sheet, tables
@@ -210,3 +211,17 @@ def test_partitioned_read_is_pruned(spark, tmp_path, plan):
     df = spark.createDataFrame([(2025, 1), (2026, 2)], "ano int, n int")
     back = tables.write_table(df, str(tmp_path / "t"), ["ano"])
     assert "PartitionFilters: [isnotnull(ano" in plan(back.filter("ano = 2026"))
+
+
+def test_hot_partition_value_is_written_by_several_tasks(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "50000")
+    try:
+        n = F.col("id")
+        df = spark.range(0, 60_000, 1, 8).select(
+            F.when(n % 10 < 8, 2026).otherwise(2025).alias("ano"), F.sha2(n.cast("string"), 256).alias("x")
+        )
+        tables.write_table(df, str(tmp_path / "t"), ["ano"])
+        hot = list((tmp_path / "t" / "ano=2026").glob("*.parquet"))
+        assert len(hot) > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
