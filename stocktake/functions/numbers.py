@@ -16,9 +16,13 @@ SHORT_WHOLE = r"^ *[+-]?[0-9]{1,9} *$"
 ANY_NUMBER = r"^[ \t\n\r\f]*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]{1,3})?[ \t\n\r\f]*$"
 
 
-def safe_int(text: Column) -> Column:
-    """Integer; fractions round half away from zero, exponents are understood."""
-    bare = strip(text)
+def safe_int(text: Column, any_blanks: bool = True) -> Column:
+    """Integer; fractions round half away from zero, exponents are understood.
+
+    Outer ASCII blanks are always ignored, other space separators only with
+    ``any_blanks``.
+    """
+    bare = strip(text) if any_blanks else text
     rounded = F.round(bare.try_cast("decimal(38,27)"), 0).try_cast("int")
     return F.when(text.rlike(SHORT_WHOLE), text.try_cast("int")).when(bare.rlike(ANY_NUMBER), rounded)
 

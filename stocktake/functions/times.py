@@ -18,13 +18,23 @@ def _iso(text: Column) -> Column:
     return F.when(text.rlike(ISO_SHAPE), plain)
 
 
+def _stretched_iso(text: Column) -> Column:
+    """ISO text with several blanks before the time."""
+    return _iso(F.regexp_replace(text, r"(?<=\d)[T ]\s+(?=\d)", " "))
+
+
+def _one_blank(text: Column) -> Column:
+    """Blanks and line ends of any kind as one blank, none at the ends."""
+    return F.trim(F.regexp_replace(text, r"\s+", " "))
+
+
 def flexible_timestamp(text: Column) -> Column:
     """Zone-less timestamp from ISO text, else from ``d/M/yyyy H:m``."""
-    typed = F.try_to_timestamp(strip(text), F.lit(DAY_FIRST_MINUTE)).cast("timestamp_ntz")
-    return F.coalesce(_iso(text), typed)
+    typed = F.try_to_timestamp(_one_blank(text), F.lit(DAY_FIRST_MINUTE)).cast("timestamp_ntz")
+    return F.coalesce(_iso(text), typed, _stretched_iso(text))
 
 
 def flexible_date(text: Column) -> Column:
     """Date from ISO text (time dropped), else from ``d/M/yyyy``."""
-    typed = F.try_to_date(strip(text), DAY_FIRST_DATE)
-    return F.coalesce(_iso(text).cast("date"), typed)
+    typed = F.try_to_date(_one_blank(strip(text)), DAY_FIRST_DATE)
+    return F.coalesce(_iso(text).cast("date"), typed, _stretched_iso(text).cast("date"))

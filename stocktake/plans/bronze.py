@@ -125,9 +125,11 @@ class VersionedTable:
             "_ingerido_em", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssxxx")
         )
         columns = [*received, "_arquivo_origem", "_ingerido_em"]
-        versions = F.broadcast(numbered.select(F.col("path").alias("_path"), F.col("versao").alias("_versao")))
+        versions = F.broadcast(numbered.select(F.col("path").alias("_path"), "versao"))
+        stray = F.raise_error(F.concat(F.lit("row of a file that is not listed: "), F.col("_path")))
+        version = F.coalesce("versao", stray.cast("int")).alias("_versao")
         target = f"{self.path}/data/{run}"
-        stamped.join(versions, "_path").select("_versao", *columns).write.parquet(target)
+        stamped.join(versions, "_path", "left").select(version, *columns).write.parquet(target)
 
         written = self.spark.read.parquet(target).groupBy(F.col("_versao").alias("versao")).agg(
             F.count(F.lit(1)).alias("num_linhas")

@@ -67,9 +67,9 @@ def type_readings(bronze: DataFrame) -> DataFrame:
     """Typed readings. The operator's login is personal data and ends here."""
     return bronze.select(
         strip(F.col("id_leitura")).alias("id_leitura"),
-        safe_int(F.col("exercicio")).alias("exercicio"),
+        safe_int(F.col("exercicio"), any_blanks=False).alias("exercicio"),
         digits_key(F.col("numero_patrimonio")).alias("numero_patrimonio"),
-        safe_int(F.col("local_codigo_area")).alias("codigo_area"),
+        safe_int(F.col("local_codigo_area"), any_blanks=False).alias("codigo_area"),
         strip(F.col("local_espaco_fisico")).alias("espaco_fisico"),
         flexible_timestamp(F.col("coletado_em")).alias("coletado_em"),
         token_or(F.col("origem_leitura"), NO_ORIGIN).alias("origem_recebida"),

@@ -11,6 +11,7 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.codegen.cache.maxEntries": "1000",
     "spark.ui.enabled": "false",
 }
 

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stocktake.sources.files import file_columns
 
+MALFORMED = "_malformed"
+
 
 def has_open_quotes(spark: SparkSession, paths: Sequence[str], charset: str) -> bool:
     """Whether some quoted value runs over a line end.
@@ -36,7 +39,7 @@ def read_delimited(
     """
     if line_breaks_in_values is None:
         line_breaks_in_values = has_open_quotes(spark, paths, charset)
-    rows = (
+    reader = (
         spark.read.option("header", True)
         .option("sep", separator)
         .option("encoding", charset)
@@ -44,6 +47,24 @@ def read_delimited(
         .option("escape", '"')
         .option("multiLine", line_breaks_in_values)
         .option("enforceSchema", False)
-        .csv(list(paths))
     )
-    return rows.na.fill("").select(*rows.columns, *file_columns())
+    columns = reader.csv(list(paths)).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, MALFORMED]])
+    rows = reader.schema(schema).option("columnNameOfCorruptRecord", MALFORMED).csv(list(paths))
+    received = [F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns]
+    return rows.filter(_fits(columns, separator)).select(*received, *file_columns())
+
+
+def _fits(columns: Sequence[str], separator: str) -> Column:
+    """True, or an error for a row with more values than the header has names.
+
+    Only rows that do not split evenly carry their text in ``MALFORMED``; short
+    ones are filled up, long ones must not lose values silently. The message
+    names all columns, which also makes every query parse whole rows.
+    """
+    wider = ", ".join(f"c{i} string" for i in range(len(columns) + 1))
+    options = {"sep": separator, "quote": '"', "escape": '"'}
+    surplus = F.from_csv(MALFORMED, F.lit(wider), options).getField(f"c{len(columns)}")
+    values = F.concat_ws(separator, *(F.col(f"`{c}`") for c in columns))
+    message = F.concat(F.lit("more values than columns: "), F.col(MALFORMED), F.lit(" after "), values)
+    return F.when(surplus.isNotNull(), F.raise_error(message).cast("boolean")).otherwise(True)

@@ -29,14 +29,17 @@ def read_envelopes(
 ) -> DataFrame:
     """One row per element of ``items``; the envelope's own fields are dropped.
 
+    A broken document, or one without the list, is an error and never skipped.
     A file is one document (read by one task) or, with ``one_per_line``, one
     document per line, which scans in splits. Passing a schema saves the pass
     that infers it.
     """
-    reader = spark.read.option("multiLine", not one_per_line)
+    reader = spark.read.option("multiLine", not one_per_line).option("mode", "FAILFAST")
     found = schema or reader.json(list(paths)).schema
     documents = reader.schema(text_schema(found)).json(list(paths))
-    records = documents.select(F.explode(items).alias("_record"), *file_columns())
+    missing = F.raise_error(F.concat(F.lit(f"no list of {items} in "), F.col("_metadata.file_path")))
+    listed = F.when(F.col(items).isNull(), missing).otherwise(F.col(items))
+    records = documents.select(F.explode(listed).alias("_record"), *file_columns())
     return flatten(records.select("_record.*", "_arquivo_origem", "_path"))
 
 

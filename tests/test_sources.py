@@ -45,6 +45,23 @@ def test_line_break_inside_a_value(spark, tmp_path):
     assert not delimited.has_open_quotes(spark, [plain], "ISO-8859-1")
 
 
+def test_short_rows_are_filled_and_long_ones_refused(spark, tmp_path):
+    path = write(tmp_path / "short.csv", "a;b;c\r\n1\r\n2;x;\r\n3;y;z\r\n")
+    assert rows(delimited.read_delimited(spark, [path]), "a", "b", "c") == [("1", "", ""), ("2", "x", ""), ("3", "y", "z")]
+    path = write(tmp_path / "long.csv", 'a;b\r\n1;2\r\n"3;3";4;5\r\n')
+    with pytest.raises(Exception, match="more values than columns"):
+        delimited.read_delimited(spark, [path]).collect()
+    # ... also when only some columns are asked for
+    with pytest.raises(Exception, match="more values than columns"):
+        delimited.read_delimited(spark, [path]).select("a").collect()
+
+
+def test_files_with_other_headers_are_refused(spark, tmp_path):
+    paths = [write(tmp_path / "1.csv", "a;b\r\n1;2\r\n"), write(tmp_path / "2.csv", "b;a\r\n1;2\r\n")]
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        delimited.read_delimited(spark, paths).collect()
+
+
 def test_large_file_scans_in_splits(spark, tmp_path):
     lines = "".join(f"{i};valor {i}\r\n" for i in range(50_000))
     path = write(tmp_path / "big.csv", "id;v\r\n" + lines)
@@ -91,6 +108,16 @@ def test_one_envelope_per_line(spark, tmp_path):
     assert sorted(r["id_leitura"] for r in df.collect()) == ["a1", "a1", "a2"]
 
 
+def test_broken_documents_are_refused(spark, tmp_path):
+    good = write(tmp_path / "good.json", envelope(READINGS), "utf-8")
+    broken = write(tmp_path / "broken.json", envelope(READINGS)[:-9], "utf-8")
+    with pytest.raises(Exception):
+        json_envelope.read_envelopes(spark, [good, broken], "leituras").collect()
+    other = write(tmp_path / "other.json", '{"sistema": "x"}', "utf-8")
+    with pytest.raises(Exception, match="no list of leituras"):
+        json_envelope.read_envelopes(spark, [good, other], "leituras").collect()
+
+
 def test_given_schema_needs_no_inference(spark, tmp_path):
     path = write(tmp_path / "lote.json", envelope(READINGS), "utf-8")
     schema = spark.createDataFrame([], "leituras array<struct<id_leitura:string,local:struct<codigo_area:int>>>").schema
