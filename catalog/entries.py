@@ -425,7 +425,7 @@ def distinct_after_typing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return matched(readings(spark, sf_dir), silver.active(register(spark, sf_dir)), silver.ASSET)
+    return matched(readings(spark, sf_dir), silver.active(register(spark, sf_dir)), silver.ASSET_KEY)
 
 
 @query
@@ -436,7 +436,7 @@ def last_event_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def window_count_then_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = ["coletado_em", "id_leitura"]
-    return last_with_count(_accepted(spark, sf_dir), silver.ASSET, order, ["id_leitura"], "quantidade_leituras")
+    return last_with_count(_accepted(spark, sf_dir), silver.ASSET_KEY, order, ["id_leitura"], "quantidade_leituras")
 
 
 # -- joins -------------------------------------------------------------------------------
@@ -497,7 +497,8 @@ def dim_with_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dim_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.dim_origin(reading_origins(spark))
+    """The official origins that readings actually came with."""
+    return gold.dim_origin(readings(spark, sf_dir))
 
 
 @query

@@ -1,4 +1,9 @@
-"""Dates and timestamps that arrive as ISO text or as day/month/year text."""
+"""Dates and timestamps that arrive as ISO text or as day/month/year text.
+
+Both shapes are recognised by a pattern, so the cast behind it rarely fails,
+and day-first text is turned round for that cast, which is several times
+cheaper than a format parser.
+"""
 
 from __future__ import annotations
 
@@ -7,34 +12,35 @@ from pyspark.sql import functions as F
 
 from stocktake.functions.text import strip
 
-# Accepted ISO shape and the two hand-typed formats.
-ISO_SHAPE = r"^\s*\d{4,}([-/])\d{1,2}\1\d{1,2}($|[T ]\s*\d)"
-DAY_FIRST_DATE = "d/M/yyyy"
-DAY_FIRST_MINUTE = "d/M/yyyy H:m"
+# The ISO shape, its rarer spellings, and the two hand-typed shapes.
+ISO_SHAPE = r"^\s*\d{4,}-\d{1,2}-\d{1,2}($|[T ]\d)"
+LOOSE_ISO_SHAPE = r"^\s*(\d{4,})([-/])(\d{1,2})\2(\d{1,2})(?:$|[T ]\s*(?=\d))"
+DAY_FIRST_DATE = r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})\s*$"
+DAY_FIRST_MINUTE = r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})\s+(\d{1,2}):(\d{1,2})\s*$"
 
 
-def _iso(text: Column) -> Column:
-    plain = F.translate(F.trim(text), "/", "-").try_cast("timestamp_ntz")
-    return F.when(text.rlike(ISO_SHAPE), plain)
+def _read(text: Column, shape: str, iso: str | None = None) -> Column:
+    """Text of the given shape as a timestamp, after rewriting it to ISO."""
+    plain = F.regexp_replace(text, shape, iso) if iso else text
+    return F.when(text.rlike(shape), plain.try_cast("timestamp_ntz"))
 
 
-def _stretched_iso(text: Column) -> Column:
-    """ISO text with several blanks before the time."""
-    return _iso(F.regexp_replace(text, r"(?<=\d)[T ]\s+(?=\d)", " "))
+def _iso(text: Column) -> Column:
+    return _read(text, ISO_SHAPE)
 
 
-def _one_blank(text: Column) -> Column:
-    """Blanks and line ends of any kind as one blank, none at the ends."""
-    return F.trim(F.regexp_replace(text, r"\s+", " "))
+def _loose_iso(text: Column) -> Column:
+    """Slashes between the parts, or several blanks before the time."""
+    return _read(text, LOOSE_ISO_SHAPE, "$1-$3-$4 ")
 
 
 def flexible_timestamp(text: Column) -> Column:
-    """Zone-less timestamp from ISO text, else from ``d/M/yyyy H:m``."""
-    typed = F.try_to_timestamp(_one_blank(text), F.lit(DAY_FIRST_MINUTE)).cast("timestamp_ntz")
-    return F.coalesce(_iso(text), typed, _stretched_iso(text))
+    """Zone-less timestamp from ISO text, else from day/month/year hour:minute."""
+    typed = _read(text, DAY_FIRST_MINUTE, "$3-$2-$1 $4:$5:00")
+    return F.coalesce(_iso(text), typed, _loose_iso(text))
 
 
 def flexible_date(text: Column) -> Column:
-    """Date from ISO text (time dropped), else from ``d/M/yyyy``."""
-    typed = F.try_to_date(_one_blank(strip(text)), DAY_FIRST_DATE)
-    return F.coalesce(_iso(text).cast("date"), typed, _stretched_iso(text).cast("date"))
+    """Date from ISO text (time dropped), else from day/month/year."""
+    typed = _read(strip(text), DAY_FIRST_DATE, "$3-$2-$1")
+    return F.coalesce(_iso(text), typed, _loose_iso(text)).cast("date")

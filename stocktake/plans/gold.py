@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stocktake.operators.dedup import last_with_count
 from stocktake.operators.joins import known_or_default, left_lookup, with_unknown_member
-from stocktake.plans.silver import ASSET, active
+from stocktake.plans.silver import ASSET, ASSET_KEY, active
 
 # Labels and the key of the unknown area.
 UNKNOWN_AREA = -1
@@ -49,7 +49,7 @@ def last_readings(readings: DataFrame) -> DataFrame:
     keyed = readings.filter(F.col("exercicio").isNotNull() & F.col("numero_patrimonio").isNotNull())
     return last_with_count(
         keyed,
-        keys=ASSET,
+        keys=ASSET_KEY,
         order=["coletado_em", "id_leitura"],
         keep=["codigo_area", "origem_leitura", "coletado_em"],
         count_as="quantidade_leituras",
@@ -60,7 +60,7 @@ def assets_with_reading(register: DataFrame, readings: DataFrame) -> DataFrame:
     """Every active asset, with its last reading where there is one."""
     assets = active(register).select(*ASSET, "codigo_area_carga", "valor_atual")
     last = last_readings(readings).withColumnRenamed("codigo_area", "codigo_area_leitura")
-    return left_lookup(assets, last, ASSET, scatter_by=["codigo_area_carga", "valor_atual"])
+    return left_lookup(assets, last, ASSET_KEY, scatter_by=["codigo_area_carga", "valor_atual"])
 
 
 def status(read: Column, registered: Column) -> Column:

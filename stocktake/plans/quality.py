@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stocktake.operators.joins import unmatched
-from stocktake.plans.silver import ASSET
+from stocktake.plans.silver import ASSET, ASSET_KEY
 
 ERROR, WARN = "error", "warn"
 
@@ -78,7 +78,7 @@ def not_exclusive(df: DataFrame, keys: Sequence[str], flags: Sequence[str]) -> D
 
 def lost_rows(readings: DataFrame, fact: DataFrame, rejected: DataFrame) -> DataFrame:
     """Readings found neither through the fact nor in the quarantine."""
-    unseen = unmatched(readings, fact, ASSET, scatter_by=["id_leitura"])
+    unseen = unmatched(readings, fact, ASSET_KEY, scatter_by=["id_leitura"])
     return unmatched(unseen, rejected, ["id_leitura"]).select("id_leitura")
 
 

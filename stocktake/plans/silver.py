@@ -28,6 +28,9 @@ NO_ORIGIN = "nao_informada"
 NO_NUMBER, NOT_IN_REGISTER = "patrimonio_ausente", "fora_da_carga"
 
 ASSET = ["exercicio", "numero_patrimonio"]
+# The same as a join and group key: sorts compare by the first column's prefix,
+# so the one with many values goes first.
+ASSET_KEY = ["numero_patrimonio", "exercicio"]
 
 
 def type_areas(bronze: DataFrame) -> DataFrame:
@@ -106,7 +109,7 @@ def active(register: DataFrame) -> DataFrame:
 def quarantine(readings: DataFrame, register: DataFrame) -> DataFrame:
     """Readings of no active asset, kept with the reason."""
     reason = F.when(F.col("numero_patrimonio").isNull(), NO_NUMBER).otherwise(NOT_IN_REGISTER)
-    rejected = unmatched(readings, active(register), ASSET, scatter_by=["id_leitura"])
+    rejected = unmatched(readings, active(register), ASSET_KEY, scatter_by=["id_leitura"])
     return rejected.select(
         "id_leitura",
         *ASSET,
