@@ -121,9 +121,9 @@ class VersionedTable:
         run = uuid.uuid4().hex
         numbered = files.withColumn("versao", (F.col("_ordem") + F.lit(start)).cast("int"))
         received = [c for c in rows.columns if c not in ("_arquivo_origem", "_path")]
-        stamped = all_text(rows).withColumn(
-            "_ingerido_em", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssxxx")
-        )
+        utc = F.convert_timezone(None, F.lit("UTC"), F.localtimestamp())
+        now = F.concat(F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
+        stamped = all_text(rows).withColumn("_ingerido_em", now)
         columns = [*received, "_arquivo_origem", "_ingerido_em"]
         versions = F.broadcast(numbered.select(F.col("path").alias("_path"), "versao"))
         stray = F.raise_error(F.concat(F.lit("row of a file that is not listed: "), F.col("_path")))
@@ -131,9 +131,8 @@ class VersionedTable:
         target = f"{self.path}/data/{run}"
         stamped.join(versions, "_path", "left").select(version, *columns).write.parquet(target)
 
-        written = self.spark.read.parquet(target).groupBy(F.col("_versao").alias("versao")).agg(
-            F.count(F.lit(1)).alias("num_linhas")
-        )
+        stored = self.spark.read.schema("_versao int").parquet(target)
+        written = stored.groupBy(F.col("_versao").alias("versao")).agg(F.count(F.lit(1)).alias("num_linhas"))
         entries = numbered.join(written, "versao", "left").select(
             "versao",
             F.current_timestamp().alias("momento"),

@@ -37,12 +37,18 @@ def read_envelopes(
     reader = spark.read.option("multiLine", not one_per_line).option("mode", "FAILFAST")
     found = schema or reader.json(list(paths)).schema
     documents = reader.schema(text_schema(found)).json(list(paths))
+    if items in found.names and not _holds_records(found[items].dataType):
+        return documents.select(*file_columns()).limit(0)  # every list is empty
     missing = F.raise_error(F.concat(F.lit(f"no list of {items} in "), F.col("_metadata.file_path")))
     listed = F.when(F.col(items).isNull(), missing).otherwise(F.col(items))
     records = documents.select(F.explode(listed).alias("_record"), *file_columns())
     return flatten(records.select("_record.*", "_arquivo_origem", "_path"))
 
 
+def _holds_records(kind: T.DataType) -> bool:
+    return isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType)
+
+
 def flatten(df: DataFrame, separator: str = "_") -> DataFrame:
     """Nested structs become ``parent_child`` columns, every leaf as text."""
     return df.select(*(c for f in df.schema.fields for c in _leaves(F.col(f"`{f.name}`"), f, separator)))

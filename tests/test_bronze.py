@@ -219,6 +219,29 @@ def test_no_table_and_unknown_version(spark, raw, bronze):
         VersionedTable(spark, f"{bronze}/leituras_coleta").snapshot(9)
 
 
+def test_batch_without_readings_is_a_version(spark, raw, bronze):
+    ingest_readings(spark, raw, bronze)
+    write_batch(raw, "lote_3.json", [])
+    assert ingest_readings(spark, raw, bronze) == 1
+    table = VersionedTable(spark, f"{bronze}/leituras_coleta")
+    assert rows(table.history(), "versao", "num_linhas") == [(0, 3), (1, 4), (2, 0)]
+    assert table.snapshot().count() == 7 and "id_leitura" in table.snapshot().columns
+    assert ingest_readings(spark, raw, bronze) == 0
+
+
+def test_ingestion_time_is_utc_in_any_session(spark, raw, bronze):
+    from datetime import datetime, timezone
+
+    spark.conf.set("spark.sql.session.timeZone", "America/Campo_Grande")
+    try:
+        ingest_register(spark, raw, bronze)
+        stamp = VersionedTable(spark, f"{bronze}/carga_patrimonial").snapshot().first()["_ingerido_em"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    age = datetime.now(timezone.utc) - datetime.fromisoformat(stamp)
+    assert 0 <= age.total_seconds() < 120
+
+
 def test_compare_previous_and_latest(spark, raw, bronze):
     ingest_readings(spark, raw, bronze)
     table = VersionedTable(spark, f"{bronze}/leituras_coleta")
