@@ -12,7 +12,7 @@ looking at its size, and shuffle beyond the threshold.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
@@ -93,6 +93,17 @@ def known_or_default(
     return marked.withColumn(key, fixed.otherwise(default)).select(*df.columns)
 
 
+def described(df: DataFrame, key: str, dimension: DataFrame, member: str, unknown: Mapping[str, object]) -> DataFrame:
+    """Add the dimension's columns; a key that is no member gets the ``unknown`` ones.
+
+    For few rows, such as totals per key: the same as ``known_or_default``
+    followed by an inner join, in one join.
+    """
+    joined = df.join(dimension, F.col(key) == F.col(member), "left")
+    filled = {c: F.when(F.col(member).isNull(), F.lit(v)).otherwise(F.col(c)) for c, v in unknown.items()}
+    return joined.select(*df.columns, *(filled.get(c, F.col(c)).alias(c) for c in dimension.columns))
+
+
 def role(dimension: DataFrame, prefix: str) -> DataFrame:
     """The dimension under a role: every column gets the prefix."""
     return dimension.select(*(F.col(c).alias(f"{prefix}_{c}") for c in dimension.columns))

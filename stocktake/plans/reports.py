@@ -2,7 +2,8 @@
 
 Facts are summed per foreign key before they meet a dimension, so the join
 handles one row per year and area instead of one per asset, whatever the share
-of a single area.
+of a single area. Area ids that are no member count as the unknown area, so the
+reports give the same on the fact and on its states with codes as received.
 """
 
 from __future__ import annotations
@@ -12,8 +13,9 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stocktake.operators.joins import role
+from stocktake.operators.joins import described, role
 from stocktake.operators.rates import percent, totals
+from stocktake.plans.gold import UNKNOWN_ROW
 
 MEASURES = {
     "localizados": "localizado_na_area",
@@ -45,7 +47,7 @@ def rate_by_year(fact: DataFrame) -> DataFrame:
 def totals_by_area(fact: DataFrame, areas: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Totals per year and the given columns of the registered area."""
     per_area = totals(fact, ["exercicio", "area_carga_id"], MEASURES, count_as=COUNT)
-    named = per_area.join(areas, F.col("area_id") == F.col("area_carga_id"))
+    named = described(per_area, "area_carga_id", areas, "area_id", UNKNOWN_ROW)
     again = {alias: alias for alias in MEASURES}
     return totals(named, ["exercicio", *keys], again, count_as=COUNT, counted=COUNT)
 
@@ -75,16 +77,15 @@ def rate_two_criteria(fact: DataFrame, areas: DataFrame) -> DataFrame:
 def misplaced_flow(fact: DataFrame, areas: DataFrame, top: int | None = 15) -> DataFrame:
     """From which area to which the misplaced assets went, largest flows first."""
     flows = totals(fact, ["exercicio", "area_carga_id", "area_leitura_id"], {"bens": "localizado_em_outra_area"})
-    named = (
-        flows.filter(F.col("bens") > 0)
-        .join(role(areas, "carga"), F.col("carga_area_id") == F.col("area_carga_id"))
-        .join(role(areas, "leitura"), F.col("leitura_area_id") == F.col("area_leitura_id"))
-        .select(
-            "exercicio",
-            F.col("carga_nome_area").alias("area_da_carga"),
-            F.col("leitura_nome_area").alias("area_onde_foi_lido"),
-            "bens",
-        )
+    named = flows.filter(F.col("bens") > 0)
+    for part in ("carga", "leitura"):
+        unknown = {f"{part}_{column}": value for column, value in UNKNOWN_ROW.items()}
+        named = described(named, f"area_{part}_id", role(areas, part), f"{part}_area_id", unknown)
+    named = named.select(
+        "exercicio",
+        F.col("carga_nome_area").alias("area_da_carga"),
+        F.col("leitura_nome_area").alias("area_onde_foi_lido"),
+        "bens",
     )
     keys = ["exercicio", "area_da_carga", "area_onde_foi_lido"]
     ranked = totals(named, keys, {"bens": "bens"}).orderBy(

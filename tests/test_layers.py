@@ -181,6 +181,13 @@ def test_reports(layers, spark):
     assert (by_year["bens_em_carga"], by_year["nao_localizados"], str(by_year["valor_nao_localizado"])) == (10, 2, "20.00")
 
 
+def test_reports_agree_on_fact_and_states(layers):
+    register, readings, dimension = layers
+    fact, states = gold.fact(*layers), gold.asset_states(register, readings)
+    for report in (reports.rate_by_region, reports.rate_two_criteria, reports.misplaced_flow):
+        assert rows(report(states, dimension)) == rows(report(fact, dimension))
+
+
 def test_reports_sum_the_fact_before_the_join(layers, plan):
     fact, dimension = gold.fact(*layers), layers[2]
     text = plan(reports.rate_by_region(fact, dimension))

@@ -38,6 +38,20 @@ def test_query_matches_sql(spark, duck, name):
     assert ours
 
 
+# Queries whose Spark plan is over tables they have written before.
+STORED = {"dq_report", "layer_roundtrip", "ing_run_counts"}
+
+
+@pytest.mark.parametrize("name", sorted(set(entry_points.queries()) - STORED))
+def test_plan_has_no_pairwise_join_and_prunes_columns(spark, plan, name):
+    text = plan(entry_points.queries()[name](spark, SF_DIR))
+    assert "CartesianProduct" not in text and "NestedLoop" not in text
+    assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
+    for scan in text.split("FileScan parquet")[1:]:
+        if "lineitem.parquet" in scan.split("ReadSchema")[0]:
+            assert "l_discount" not in scan and "l_tax" not in scan
+
+
 def test_flagship(spark):
     assert [r["exercicio"] for r in entry_points.entry(spark).collect()] == sorted(range(1995, 2002))
 
