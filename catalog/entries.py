@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,55 +45,54 @@ def query(function: Query) -> Query:
 
 
 # -- layers over the given tables --------------------------------------------
+# One handle per session and folder: a plan, not data; every query still runs it.
 
 
+@cache
 def areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.stg_areas(binding.bronze_areas(spark, sf_dir))
 
 
+@cache
 def register(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.stg_register(binding.bronze_register(spark, sf_dir))
 
 
+@cache
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.stg_readings(binding.bronze_readings(spark, sf_dir), reading_origins(spark))
 
 
+@cache
 def rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.quarantine(readings(spark, sf_dir), register(spark, sf_dir))
 
 
+@cache
 def area_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.dim_area(areas(spark, sf_dir))
 
 
+@cache
 def states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact without its area ids led to the dimension, which the reports do on their totals."""
     return gold.asset_states(register(spark, sf_dir), readings(spark, sf_dir))
 
 
+@cache
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.fact(register(spark, sf_dir), readings(spark, sf_dir), area_dimension(spark, sf_dir))
 
 
-_WRITTEN: dict[tuple[str, str, str], object] = {}
-
-
-def _once(spark: SparkSession, sf_dir: str, what: str, make: Callable[[], object]) -> object:
-    """Written tables are made once per application and reused by the queries on them."""
-    key = (spark.sparkContext.applicationId, sf_dir, what)
-    if key not in _WRITTEN:
-        _WRITTEN[key] = make()
-    return _WRITTEN[key]
-
-
+@cache
 def built_layers(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The written layers, built once per session for the queries on them."""
     bronze = Bronze(
         binding.bronze_areas(spark, sf_dir),
         binding.bronze_register(spark, sf_dir),
         binding.bronze_readings(spark, sf_dir),
     )
-    return _once(spark, sf_dir, "layers", lambda: build_layers(bronze, new_work_path(spark, "layers")))
+    return build_layers(bronze, new_work_path(spark, "layers"))
 
 
 # -- sources -------------------------------------------------------------------
@@ -119,13 +119,10 @@ def src_csv_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_delimited(spark, [path]).drop("_arquivo_origem", "_path")
 
 
+@cache
 def _envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def write() -> str:
-        path = new_work_path(spark, "json")
-        binding.reading_documents(spark, sf_dir).write.json(path)
-        return path
-
-    path = _once(spark, sf_dir, "json", write)
+    path = new_work_path(spark, "json")
+    binding.reading_documents(spark, sf_dir).write.json(path)
     return read_envelopes(spark, [path], "leituras", one_per_line=True)
 
 
@@ -183,58 +180,46 @@ def ing_skip_seen_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unseen_overwrite(hashed, history).select("arquivo_origem", "conteudo")
 
 
+@cache
 def _appended(spark: SparkSession, sf_dir: str) -> tuple[VersionedTable, list[tuple[int, int, int]]]:
     """A table fed in three runs: half a month, the whole month, the same again.
 
     The first half arrives without the ``props`` column.
     """
+    table = VersionedTable(spark, new_work_path(spark, "append"))
+    batches = binding.daily_batches(spark, sf_dir)
+    listing = binding.batch_listing(batches).checkpoint()
 
-    def write() -> tuple[VersionedTable, list[tuple[int, int, int]]]:
-        batches = binding.daily_batches(spark, sf_dir)
-        listing = binding.batch_listing(batches).checkpoint()
-        table = VersionedTable(spark, new_work_path(spark, "append"))
+    def rows(columns: list[str]) -> Callable[[DataFrame], DataFrame]:
+        named = batches.select(*columns, "_arquivo_origem", F.col("_arquivo_origem").alias("_path"))
+        return lambda files: _of_files(named, files)
 
-        def rows(columns: list[str]) -> Callable[[DataFrame], DataFrame]:
-            def read(files: DataFrame) -> DataFrame:
-                named = batches.select(*columns, "_arquivo_origem", F.col("_arquivo_origem").alias("_path"))
-                return named.join(F.broadcast(files.select(F.col("path").alias("_path"))), "_path", "left_semi")
-
-            return read
-
-        early = listing.filter(_batch_day() <= 15)
-        narrow, wide = ["event_id", "user_id", "event_type"], ["event_id", "user_id", "event_type", "props"]
-        counts = []
-        for number, (files, columns) in enumerate([(early, narrow), (listing, wide), (listing, wide)], start=1):
-            written = ingest(table, files, rows(columns), APPEND)
-            counts.append((number, files.count(), written))
-        return table, counts
-
-    new_work_path(spark, "append")  # the checkpoint folder is set before the first checkpoint
-    return _once(spark, sf_dir, "append", write)
+    early = listing.filter(_batch_day() <= 15)
+    narrow, wide = ["event_id", "user_id", "event_type"], ["event_id", "user_id", "event_type", "props"]
+    counts = []
+    for number, (files, columns) in enumerate([(early, narrow), (listing, wide), (listing, wide)], start=1):
+        written = ingest(table, files, rows(columns), APPEND)
+        counts.append((number, files.count(), written))
+    return table, counts
 
 
+@cache
 def _overwritten(spark: SparkSession, sf_dir: str) -> VersionedTable:
     """A register delivered three times, each period of the month replacing the one before."""
+    table = VersionedTable(spark, new_work_path(spark, "overwrite"))
+    day = F.dayofmonth("ts")
+    period = F.when(day <= 10, 1).when(day <= 20, 2).otherwise(3)
+    name = F.concat(F.lit("periodo_"), period, F.lit(".csv"))
+    rows = binding.table(spark, sf_dir, "events").select(
+        "event_id", "user_id", "event_type", name.alias("_arquivo_origem"), name.alias("_path")
+    )
+    ingest(table, binding.batch_listing(all_text(rows)), lambda files: _of_files(rows, files), OVERWRITE)
+    return table
+
 
-    def write() -> VersionedTable:
-        day = F.dayofmonth("ts")
-        period = F.when(day <= 10, 1).when(day <= 20, 2).otherwise(3)
-        name = F.concat(F.lit("periodo_"), period, F.lit(".csv"))
-        rows = binding.table(spark, sf_dir, "events").select(
-            "event_id", "user_id", "event_type", name.alias("_arquivo_origem"), name.alias("_path")
-        )
-        listing = binding.batch_listing(all_text(rows))
-        table = VersionedTable(spark, new_work_path(spark, "overwrite"))
-        ingest(
-            table,
-            listing,
-            lambda files: rows.join(F.broadcast(files.select(F.col("path").alias("_path"))), "_path", "left_semi"),
-            OVERWRITE,
-        )
-        return table
-
-    new_work_path(spark, "overwrite")
-    return _once(spark, sf_dir, "overwrite", write)
+def _of_files(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """The rows of one commit's files, whose number ``ingest`` bounds."""
+    return rows.join(F.broadcast(files.select(F.col("path").alias("_path"))), "_path", "left_semi")
 
 
 @query
