@@ -145,9 +145,11 @@ def raw_origin(part: Column, flag: Column, status: Column) -> Column:
 
 
 def raw_moment(moment: Column, key: Column) -> Column:
-    return F.when(key % 3 == 0, F.date_format(moment, "dd/MM/yyyy HH:mm")).otherwise(
-        F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss")
-    )
+    """Cut out of the plain text, which no session time zone shifts."""
+    text = moment.cast("string")
+    day, clock = F.substring(text, 1, 10), F.substring(text, 12, 8)
+    turned = F.concat_ws("/", F.substring(text, 9, 2), F.substring(text, 6, 2), F.substring(text, 1, 4))
+    return F.when(key % 3 == 0, F.concat_ws(" ", turned, F.substring(clock, 1, 5))).otherwise(F.concat_ws("T", day, clock))
 
 
 def bronze_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,7 +168,7 @@ def bronze_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw_moment(moment, line).alias("coletado_em"),
         area.alias("local_codigo_area"),
         F.concat(F.lit(" Sala "), F.lpad(part.cast("string"), 9, "0")).alias("local_espaco_fisico"),
-        F.concat(F.lit("lote_"), F.date_format(moment, "yyyy-MM"), F.lit(".json")).alias("_arquivo_origem"),
+        F.concat(F.lit("lote_"), F.substring(moment.cast("string"), 1, 7), F.lit(".json")).alias("_arquivo_origem"),
     )
 
 
@@ -220,7 +222,7 @@ def dirty_integers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def daily_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as rows of one received file per day, all text."""
-    day = F.date_format("ts", "yyyy-MM-dd")
+    day = F.col("ts").cast("date").cast("string")
     return table(spark, sf_dir, "events").select(
         F.col("event_id").cast("string").alias("event_id"),
         F.col("user_id").cast("string").alias("user_id"),

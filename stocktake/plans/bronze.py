@@ -19,6 +19,11 @@ from pyspark.sql import types as T
 
 APPEND, OVERWRITE = "Append", "Overwrite"
 
+# ISO text in UTC to the second, from the epoch: the session time zone plays no part.
+UTC_NOW = """concat(translate(cast(
+    timestamp_ntz '1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, unix_seconds(current_timestamp()))
+    AS string), ' ', 'T'), '+00:00')"""
+
 LEDGER = T.StructType(
     [
         T.StructField("versao", T.IntegerType()),
@@ -121,9 +126,7 @@ class VersionedTable:
         run = uuid.uuid4().hex
         numbered = files.withColumn("versao", (F.col("_ordem") + F.lit(start)).cast("int"))
         received = [c for c in rows.columns if c not in ("_arquivo_origem", "_path")]
-        utc = F.convert_timezone(None, F.lit("UTC"), F.localtimestamp())
-        now = F.concat(F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
-        stamped = all_text(rows).withColumn("_ingerido_em", now)
+        stamped = all_text(rows).withColumn("_ingerido_em", F.expr(UTC_NOW))
         columns = [*received, "_arquivo_origem", "_ingerido_em"]
         versions = F.broadcast(numbered.select(F.col("path").alias("_path"), "versao"))
         stray = F.raise_error(F.concat(F.lit("row of a file that is not listed: "), F.col("_path")))
