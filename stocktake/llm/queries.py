@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stocktake.llm.simhash_dedup import near_duplicates
 from stocktake.llm.substring_dedup import dedup_substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,7 +21,12 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(_table(spark, sf_dir, "documents"))
 
 
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op4_simhash_near_dedup": op4_simhash_near_dedup,
 }
 ORACLE: dict[str, str] = {}
