@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stocktake.llm.bpe_codec import encode_decode
 from stocktake.llm.simhash_dedup import near_duplicates
 from stocktake.llm.substring_dedup import dedup_substrings
 
@@ -25,8 +27,13 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_decode(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op10_bpe_codec": op10_bpe_codec,
 }
 ORACLE: dict[str, str] = {}
