@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from stocktake.llm.bpe_codec import encode_decode
 from stocktake.llm.simhash_dedup import near_duplicates
 from stocktake.llm.substring_dedup import dedup_substrings
+from stocktake.llm.warc import capture_index
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +28,11 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op9_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = capture_index(_table(spark, sf_dir, "pages"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured")
+
+
 def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -34,6 +40,7 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op9_warc_index": op9_warc_index,
     "op10_bpe_codec": op10_bpe_codec,
 }
 ORACLE: dict[str, str] = {}
