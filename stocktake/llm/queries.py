@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stocktake.llm.bpe_codec import encode_decode
+from stocktake.llm.quality_rules import METRICS, judged
 from stocktake.llm.simhash_dedup import near_duplicates
 from stocktake.llm.substring_dedup import dedup_substrings
 from stocktake.llm.warc import capture_index
@@ -28,6 +29,11 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    verdicts = judged(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return verdicts.select("doc_id", *(F.col(f"quality.{c}") for c in [*METRICS, "base_failed", "kept", "n_lost_chars"]))
+
+
 def op9_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = capture_index(_table(spark, sf_dir, "pages"))
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured")
@@ -40,6 +46,7 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_quality_rules": op5_quality_rules,
     "op9_warc_index": op9_warc_index,
     "op10_bpe_codec": op10_bpe_codec,
 }
