@@ -12,6 +12,7 @@ from stocktake.llm.bpe_codec import encode_decode
 from stocktake.llm.quality_rules import METRICS, judged
 from stocktake.llm.simhash_dedup import near_duplicates
 from stocktake.llm.substring_dedup import dedup_substrings
+from stocktake.llm.suffix_dedup import dedup_bytes
 from stocktake.llm.warc import capture_index
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +26,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(_table(spark, sf_dir, "documents"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_bytes(_table(spark, sf_dir, "documents"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -45,6 +50,7 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op9_warc_index": op9_warc_index,
