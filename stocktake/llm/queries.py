@@ -13,7 +13,9 @@ from stocktake.llm.quality_rules import METRICS, judged
 from stocktake.llm.simhash_dedup import near_duplicates
 from stocktake.llm.substring_dedup import dedup_substrings
 from stocktake.llm.suffix_dedup import dedup_bytes
+from stocktake.llm.toxicity import fold, score, train
 from stocktake.llm.warc import capture_index
+from stocktake.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +41,14 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts.select("doc_id", *(F.col(f"quality.{c}") for c in [*METRICS, "base_failed", "kept", "n_lost_chars"]))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shared_folder(spark)
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold(F.col("doc_id")) == 0
+    model = train(docs, _table(spark, sf_dir, "labels").where(~held_out))
+    return score(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_passages", "best_start", "best_length")
+
+
 def op9_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = capture_index(_table(spark, sf_dir, "pages"))
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured")
@@ -53,6 +63,7 @@ QUERIES: dict[str, Query] = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_quality_rules": op5_quality_rules,
+    "op6_toxicity": op6_toxicity,
     "op9_warc_index": op9_warc_index,
     "op10_bpe_codec": op10_bpe_codec,
 }
