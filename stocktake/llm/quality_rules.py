@@ -10,11 +10,11 @@ a shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stocktake.llm.columns import bound
+
 BREAKS = r"[\x20\x09-\x0D]+"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -30,11 +30,6 @@ BOILERPLATE = r"(all rights reserved|terms of (use|service)|privacy policy|cooki
 METRICS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
-def _with(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once per row."""
-    return F.transform(F.array(value), body)[0]
-
-
 def words_of(text: Column) -> Column:
     return F.filter(F.split(text, BREAKS), lambda w: w != "")
 
@@ -51,10 +46,10 @@ def _repeat_words(words: Column) -> Column:
             return F.size(F.array_distinct(F.flatten(F.transform(at, lambda i: F.array(i, i + 1, i + 2)))))
 
         pairs = F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i")))
-        return F.when(F.size(F.array_distinct(h)) == F.size(h), 0).otherwise(_with(F.sort_array(pairs), of_sorted))
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), 0).otherwise(bound(F.sort_array(pairs), of_sorted))
 
     windows = F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)))
-    return F.when(n < 3, 0).otherwise(_with(windows, of_hashes))
+    return F.when(n < 3, 0).otherwise(bound(windows, of_hashes))
 
 
 def line_fails(line: Column) -> Column:
@@ -80,7 +75,7 @@ def judged(docs: DataFrame, text_col: str = "text") -> DataFrame:
     def of_text(text: Column) -> Column:
         lines = F.split(text, "\n")
         filled = F.filter(lines, lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-        measured = _with(
+        measured = bound(
             words_of(text),
             lambda w: F.struct(
                 F.size(w).cast("long").alias("n_words"),
@@ -91,7 +86,7 @@ def judged(docs: DataFrame, text_col: str = "text") -> DataFrame:
         return F.struct(
             measured.alias("m"),
             F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
-            _with(filled, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
+            bound(filled, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
             F.array_join(F.filter(lines, lambda x: ~line_fails(x)), "\n").alias("clean_text"),
             F.char_length(text).alias("chars"),
         )
@@ -111,4 +106,4 @@ def judged(docs: DataFrame, text_col: str = "text") -> DataFrame:
         lost.cast("long").alias("n_lost_chars"),
         q["clean_text"].alias("clean_text"),
     )
-    return docs.withColumn("_quality", _with(raw, of_text)).withColumn("quality", verdict).drop("_quality")
+    return docs.withColumn("_quality", bound(raw, of_text)).withColumn("quality", verdict).drop("_quality")

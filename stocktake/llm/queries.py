@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stocktake.llm.bpe_codec import encode_decode
 from stocktake.llm.decontaminate import leaks
+from stocktake.llm.pii import pseudonymised
 from stocktake.llm.quality_rules import METRICS, judged
 from stocktake.llm.simhash_dedup import near_duplicates
 from stocktake.llm.substring_dedup import dedup_substrings
@@ -18,6 +19,9 @@ from stocktake.llm.toxicity import fold, score, train
 from stocktake.llm.warc import capture_index
 from stocktake.session import shared_folder
 
+#: Of the pseudonyms in the registered query; real data need a secret one.
+KEY = "registered query"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -54,6 +58,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_passages", "best_start", "best_length")
 
 
+def op7_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymised(_table(spark, sf_dir, "documents").select("doc_id", "text"), KEY).select("doc_id", "text", F.size("pii").cast("long").alias("n_replaced"))
+
+
 def op9_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = capture_index(_table(spark, sf_dir, "pages"))
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured")
@@ -70,6 +78,7 @@ QUERIES: dict[str, Query] = {
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_toxicity": op6_toxicity,
+    "op7_pii_pseudonyms": op7_pii_pseudonyms,
     "op9_warc_index": op9_warc_index,
     "op10_bpe_codec": op10_bpe_codec,
 }
