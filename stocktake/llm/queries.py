@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stocktake.llm.bpe_codec import encode_decode
 from stocktake.llm.decontaminate import leaks
+from stocktake.llm.line_dedup import deduped
 from stocktake.llm.pii import pseudonymised
 from stocktake.llm.quality_rules import METRICS, judged
 from stocktake.llm.simhash_dedup import near_duplicates
@@ -62,6 +63,10 @@ def op7_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonymised(_table(spark, sf_dir, "documents").select("doc_id", "text"), KEY).select("doc_id", "text", F.size("pii").cast("long").alias("n_replaced"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deduped(_table(spark, sf_dir, "documents"))
+
+
 def op9_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = capture_index(_table(spark, sf_dir, "pages"))
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured")
@@ -79,6 +84,7 @@ QUERIES: dict[str, Query] = {
     "op5_quality_rules": op5_quality_rules,
     "op6_toxicity": op6_toxicity,
     "op7_pii_pseudonyms": op7_pii_pseudonyms,
+    "op8_line_dedup": op8_line_dedup,
     "op9_warc_index": op9_warc_index,
     "op10_bpe_codec": op10_bpe_codec,
 }
