@@ -4,17 +4,85 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from stocktake.llm.bpe_codec import encode_decode
+from stocktake.llm.decontaminate import leaks
+from stocktake.llm.line_dedup import without_lines
+from stocktake.llm.quality_rules import judged
+from stocktake.llm.simhash_dedup import near_duplicates
+from stocktake.session import new_work_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+VOCABULARY = "word_bpe_49k.json"
+
+
+def _changed(docs: DataFrame, text: Column) -> DataFrame:
+    """``docs`` with another text, and its length where that column is there."""
+    columns = docs.columns
+    docs = docs.withColumn("text", text)
+    if "n_chars" in columns:
+        docs = docs.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return docs.select(*(f"`{c}`" for c in columns))
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """A number per row, as ids may be null or repeated; ``docs`` is a written table, so it is the same each time."""
+    return docs.withColumn("_row", F.monotonically_increasing_id())
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejected documents go, and the failing lines of the others."""
+    kept = judged(docs).where("quality.kept")
+    return _changed(kept.withColumn("text", F.col("quality.clean_text")).select(*(f"`{c}`" for c in docs.columns)), F.col("text"))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated lines go, and documents that are left without a word."""
+    return _changed(without_lines(docs), F.col("text")).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest id stays."""
+    numbered = _numbered(docs)
+    groups = near_duplicates(numbered, id_col="_row").select(F.col("doc_id").alias("_row"), "component_id")
+    named = groups.join(numbered.select("_row", "doc_id"), "_row")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))
+    kept = named.groupBy("component_id").agg(first.alias("first")).select("first._row")
+    return numbered.join(kept, "_row", "left_semi").drop("_row")
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    numbered = _numbered(docs)
+    hit = leaks(numbered, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="_row").select(F.col("doc_id").alias("_row")).distinct()
+    return numbered.join(hit, "_row", "left_anti").drop("_row")
+
+
+def bpe_codec(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of the text that is left, and the text they decode to, as digests."""
+    return encode_decode(docs, public_tokenizers.path(VOCABULARY))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("simhash_near_dedup", simhash_near_dedup),
+    ("decontamination", decontamination),
+    ("bpe_codec", bpe_codec),
+]
+#: Tries, MinHash components and merges of a vocabulary are beyond SQL; tests/llm compares each stage with brute force.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each stage's rows are written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for name, stage in STAGES:
+        path = new_work_path(spark, f"stage-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs
