@@ -14,8 +14,11 @@ import heapq
 import json
 import mmap
 import os
+import re
+import sys
 import tempfile
 import unicodedata
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -28,11 +31,10 @@ from pyspark.sql import functions as F
 from stocktake.llm.transducer import Transducer, build
 
 LEXICON_WORDS = 65_536
-MEMO_WORDS = 300_000
+MEMO_WORDS = 600_000
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: Up to here the pattern and case tables of Python and of the vocabulary's library agree.
 _PLAIN = regex.compile("[^\u0000-ӿ]")
-_SPACES = regex.compile(r"\s+")
 _IDS = np.dtype("<u4")
 
 
@@ -44,6 +46,22 @@ def _byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
+def _spelled_out(pattern: str) -> str:
+    """The pattern for plain texts, with its classes as lists of letters, for the faster engine."""
+    plain = [chr(c) for c in range(0x500)]
+
+    def listed(name: str) -> str:
+        out, members = "", [c for c in plain if regex.match(name, c)]
+        for c in members:
+            ends = ord(c) - 1 < 0 or chr(ord(c) - 1) not in members, chr(ord(c) + 1) not in members
+            out += (re.escape(c) if ends[0] else "") + ("-" if ends == (True, False) else "") + (re.escape(c) if ends == (False, True) else "")
+        return out
+
+    classes = {name: listed(name) for name in (r"\s", r"\p{L}", r"\p{N}")}
+    spelled = re.sub(r"\[\^?[^\]]*\]", lambda m: re.sub(r"\\s|\\p\{[LN]\}", lambda c: classes[c[0]], m[0]), pattern)
+    return spelled
+
+
 class Vocabulary:
     """A vocabulary file of byte-level BPE with word ends: splitting, merging and the way back."""
 
@@ -58,10 +76,14 @@ class Vocabulary:
         self.pattern = regex.compile(split["pattern"]["Regex"])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self._special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.pairs = {}
+        self.pairs, self.merged = {}, []
         for rank, merge in enumerate(model["merges"]):
             a, b = merge if isinstance(merge, list) else merge.split(" ")
-            self.pairs[self.ids[a], self.ids[b]] = (rank, self.ids[a + b])
+            self.pairs[self.ids[a], self.ids[b]] = rank
+            self.merged.append(self.ids[a + b])
+        self.merged.append(-1)  # for the rank of pairs that don't merge
+        self.inner, self.last = ([self.ids[x + end] for x in self.letters] for end in ("", self.end))
+        self.plain = re.compile(_spelled_out(split["pattern"]["Regex"]))
         self.tokens = [""] * (1 + max([*self.ids.values(), *self.special.values()]))
         for token, i in {**self.ids, **self.special}.items():
             self.tokens[i] = token
@@ -71,7 +93,8 @@ class Vocabulary:
         """Normal form, then the pieces that the pattern matches; special tokens must be cut out before."""
         if _PLAIN.search(text):
             return self._library_words(text)
-        return self.pattern.findall(_SPACES.sub(" ", unicodedata.normalize("NFC", text)).replace("Σ", "σ").lower())
+        # the pattern matches no white space, so the normal form of that makes no difference
+        return self.plain.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
 
     def _library_words(self, text: str) -> list[str]:
         if self._library is None:
@@ -87,21 +110,24 @@ class Vocabulary:
 
     def merge(self, word: str) -> list[int]:
         """The ids of one word: always the pair of least rank first, the leftmost of equal ones."""
-        letters = [self.letters[b] for b in word.encode()]
-        letters[-1] += self.end
-        row = [self.ids[x] for x in letters]
-        if len(row) > 48:
+        raw = word.encode()
+        row = [self.inner[b] for b in raw[:-1]]
+        row.append(self.last[raw[-1]])
+        if len(row) > 64:
             return self._merge_long(row)
-        pairs = self.pairs
-        while len(row) > 1:
-            best, at = None, -1
-            for i, pair in enumerate(zip(row, row[1:])):
-                found = pairs.get(pair)
-                if found is not None and (best is None or found < best):
-                    best, at = found, i
-            if best is None:
+        find, merged, never = self.pairs.get, self.merged, len(self.merged) - 1
+        ranks = [find(pair, never) for pair in zip(row, row[1:])]
+        while ranks:
+            rank = min(ranks)
+            if rank == never:
                 break
-            row[at : at + 2] = [best[1]]
+            i = ranks.index(rank)
+            row[i : i + 2] = [merged[rank]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = find((row[i - 1], row[i]), never)
+            if i < len(ranks):
+                ranks[i] = find((row[i], row[i + 1]), never)
         return row
 
     def _merge_long(self, row: list[int]) -> list[int]:
@@ -112,8 +138,8 @@ class Vocabulary:
 
         def offer(i: int) -> None:
             j = after[i]
-            if j < n and (found := self.pairs.get((row[i], row[j]))) is not None:
-                heapq.heappush(heap, (found[0], i, row[i], row[j], found[1]))
+            if j < n and (rank := self.pairs.get((row[i], row[j]))) is not None:
+                heapq.heappush(heap, (rank, i, row[i], row[j], self.merged[rank]))
 
         for i in range(n - 1):
             offer(i)
@@ -158,10 +184,17 @@ class _Memo(dict):
             ids = self.vocabulary.merge(word)
         if len(self) >= MEMO_WORDS:
             self.clear()
-        self[word] = found = np.array(ids, _IDS).tobytes()
+        self[word] = found = _packed(ids)
         return found
 
 
+def _packed(ids: list[int]) -> bytes:
+    found = array("I", ids)
+    if sys.byteorder == "big":
+        found.byteswap()
+    return found.tobytes()
+
+
 def _mapped(flat: bytes) -> mmap.mmap:
     """The lexicon as a mapped file; written once per folder of temporary files, found by its digest."""
     path = os.path.join(tempfile.gettempdir(), f"lexicon-{hashlib.sha256(flat).hexdigest()}")
@@ -177,7 +210,7 @@ def encode(vocabulary: Vocabulary, memo: dict[str, bytes], text: str) -> np.ndar
     out = []
     for i, piece in enumerate(vocabulary.pieces(text)):
         if i % 2:
-            out.append(np.array([vocabulary.special[piece]], _IDS).tobytes())
+            out.append(_packed([vocabulary.special[piece]]))
         elif piece:
             out += map(memo.__getitem__, vocabulary.words(piece))
     return np.frombuffer(b"".join(out), _IDS)

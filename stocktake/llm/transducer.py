@@ -15,6 +15,7 @@ from collections.abc import Iterable
 import numpy as np
 
 _HEAD = struct.Struct("<5I")
+_BYTES = [bytes([b]) for b in range(256)]
 
 
 class _State:
@@ -94,6 +95,7 @@ def _flat(states: list[_State], start: int) -> bytes:
             pool.extend((len(output), *output))
         return at[output]
 
+    place(())
     for state in states:
         for byte, (target, output) in sorted(state.arcs.items(), key=lambda x: x[0]):
             labels.append(byte)
@@ -123,16 +125,15 @@ class Transducer:
     def get(self, word: bytes) -> list[int] | None:
         """The outputs of a word, or None if the transducer doesn't hold it."""
         state, found = self._start, []
-        first, pool, base = self._first, self._pool, self._labels
-        for i in range(len(word)):
-            arc = self._find(word[i : i + 1], base + first[state], base + first[state + 1])
+        first, pool, outs, targets, find, base = self._first, self._pool, self._outs, self._targets, self._find, self._labels
+        for byte in word:
+            arc = find(_BYTES[byte], base + first[state], base + first[state + 1])
             if arc < 0:
                 return None
             arc -= base
-            out = self._outs[arc]
-            if size := pool[out]:
-                found += pool[out + 1 : out + 1 + size]
-            state = self._targets[arc]
+            if out := outs[arc]:  # at 0 lies the empty output
+                found += pool[out + 1 : out + 1 + pool[out]]
+            state = targets[arc]
         last = self._finals[state]
         if not last:
             return None
