@@ -14,7 +14,6 @@ from pyspark.sql.types import StructType
 
 from catalog import workbooks
 from stocktake.sources.files import rows_digest
-from stocktake.sources.tables import spread_small_scan
 
 REGISTER_FILE = "carga_patrimonial.csv"
 # Areas carry the nation key; register and readings are shifted against it, so
@@ -22,15 +21,6 @@ REGISTER_FILE = "carga_patrimonial.csv"
 AREA_SHIFT = 2
 
 
-# The larger tables and the columns that tell their rows apart.
-LARGE = {
-    "orders": ("o_orderkey",),
-    "lineitem": ("l_orderkey", "l_partkey", "l_suppkey"),
-    "events": ("event_id",),
-    "documents": ("doc_id",),
-}
-
-
 _SCHEMAS: dict[str, StructType] = {}
 
 
@@ -39,8 +29,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir}/{name}.parquet"
     if path not in _SCHEMAS:
         _SCHEMAS[path] = spark.read.parquet(path).schema
-    df = spark.read.schema(_SCHEMAS[path]).parquet(path)
-    return spread_small_scan(df, *LARGE[name]) if name in LARGE else df
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def cycle(key: Column, *choices: Column | str) -> Column:

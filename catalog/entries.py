@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cache
+from functools import cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,9 +84,8 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.fact(register(spark, sf_dir), readings(spark, sf_dir), area_dimension(spark, sf_dir))
 
 
-@cache
 def built_layers(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The written layers, built once per session for the queries on them."""
+    """The layers, written anew by each query on them."""
     bronze = Bronze(
         binding.bronze_areas(spark, sf_dir),
         binding.bronze_register(spark, sf_dir),
@@ -116,10 +115,9 @@ def src_csv_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         .option("emptyValue", "")
         .csv(path)
     )
-    return read_delimited(spark, [path]).drop("_arquivo_origem", "_path")
+    return read_delimited(spark, [path], line_breaks_in_values=True).drop("_arquivo_origem", "_path")
 
 
-@cache
 def _envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_work_path(spark, "json")
     binding.reading_documents(spark, sf_dir).write.json(path)
@@ -180,9 +178,8 @@ def ing_skip_seen_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unseen_overwrite(hashed, history).select("arquivo_origem", "conteudo")
 
 
-@cache
-def _appended(spark: SparkSession, sf_dir: str) -> tuple[VersionedTable, list[tuple[int, int, int]]]:
-    """A table fed in three runs: half a month, the whole month, the same again.
+def _appended(spark: SparkSession, sf_dir: str) -> tuple[VersionedTable, list[DataFrame]]:
+    """A table fed in three runs, and each run's listing: half a month, the whole month, the same again.
 
     The first half arrives without the ``props`` column.
     """
@@ -196,14 +193,12 @@ def _appended(spark: SparkSession, sf_dir: str) -> tuple[VersionedTable, list[tu
 
     early = listing.filter(_batch_day() <= 15)
     narrow, wide = ["event_id", "user_id", "event_type"], ["event_id", "user_id", "event_type", "props"]
-    counts = []
-    for number, (files, columns) in enumerate([(early, narrow), (listing, wide), (listing, wide)], start=1):
-        written = ingest(table, files, rows(columns), APPEND)
-        counts.append((number, files.count(), written))
-    return table, counts
+    runs = [(early, narrow), (listing, wide), (listing, wide)]
+    for files, columns in runs:
+        ingest(table, files, rows(columns), APPEND)
+    return table, [files for files, _ in runs]
 
 
-@cache
 def _overwritten(spark: SparkSession, sf_dir: str) -> VersionedTable:
     """A register delivered three times, each period of the month replacing the one before."""
     table = VersionedTable(spark, new_work_path(spark, "overwrite"))
@@ -219,14 +214,19 @@ def _overwritten(spark: SparkSession, sf_dir: str) -> VersionedTable:
 
 def _of_files(rows: DataFrame, files: DataFrame) -> DataFrame:
     """The rows of one commit's files, whose number ``ingest`` bounds."""
-    return rows.join(F.broadcast(files.select(F.col("path").alias("_path"))), "_path", "left_semi")
+    return rows.join(files.select(F.col("path").alias("_path")), "_path", "left_semi")
 
 
 @query
 def ing_run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, counts = _appended(spark, sf_dir)
-    rows = [(number, received, written, received - written) for number, received, written in counts]
-    return spark.createDataFrame(rows, "rodada int, recebidos long, gravados long, ignorados long")
+    """Received files from the listings, written ones from the ledger, where a run without news has no entry."""
+    table, listings = _appended(spark, sf_dir)
+    numbered = [files.select(F.lit(number).alias("rodada")) for number, files in enumerate(listings, start=1)]
+    received = reduce(DataFrame.unionAll, numbered).groupBy("rodada").agg(F.count("*").alias("recebidos"))
+    runs = table.history().groupBy("execucao").agg(F.count("*").alias("gravados"), F.min("versao").alias("_first"))
+    written = global_sequence(runs, ["_first"], "rodada", start=1).select("rodada", "gravados")
+    counted = received.join(written, "rodada", "left").withColumn("gravados", F.coalesce("gravados", F.lit(0).cast("long")))
+    return counted.withColumn("ignorados", F.col("recebidos") - F.col("gravados"))
 
 
 # -- versioned tables ----------------------------------------------------------------

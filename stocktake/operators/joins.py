@@ -19,8 +19,6 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SCATTER = 4096
-
 
 def _complete(keys: Sequence[str]) -> Column:
     return reduce(and_, [F.col(k).isNotNull() for k in keys])
@@ -38,9 +36,9 @@ def spread_join(
     ``scatter_by`` names the left columns that tell NULL-keyed rows apart
     (all of them by default); naming few lets the others be pruned.
     """
-    scattered = F.pmod(F.xxhash64(*(scatter_by or left.columns)), F.lit(SCATTER)).cast("int")
+    scattered = F.xxhash64(*(scatter_by or left.columns))
     # Always zero, but no constant: that would be folded out of the join keys.
-    zero = F.pmod(F.hash(*keys), F.lit(1))
+    zero = F.pmod(F.xxhash64(*keys), F.lit(1).cast("long"))
     spread = left.withColumn("_spread", F.when(_complete(keys), zero).otherwise(scattered))
     anchored = right.withColumn("_spread", zero)
     return spread.join(anchored, [*keys, "_spread"], how).select(

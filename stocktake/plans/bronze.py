@@ -1,11 +1,11 @@
 """Versioned all-text tables: one version per received file.
 
-A table is a folder with ``data/<run>`` (Parquet, the version number a column)
-and ``ledger/<run>`` (one row per version). A run writes its data first and its
-ledger last; readers only look at runs whose ledger is complete, so a run that
-died half-way stays invisible. One folder per run, not per file, keeps the
-number of directories and files small when many files arrive. The ledger has
-one writer at a time.
+A table is a folder with ``data/execucao=<run>`` (Parquet, the version number a
+column) and ``ledger`` (one row per version, appended to by each run in one
+file). A run writes its data first and its ledger last; readers join the data to
+the runs of the ledger, so a run that died half-way stays invisible. One folder
+per run, not per file, keeps the number of directories and files small when many
+files arrive. The ledger has one writer at a time; a second one is noticed.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,18 +53,14 @@ class VersionedTable:
 
     # -- history ---------------------------------------------------------
 
-    def _committed_runs(self) -> list[str]:
-        pattern = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/ledger/*/_SUCCESS")
-        system = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        found = system.globStatus(pattern) or []
-        return sorted(status.getPath().getParent().toString() for status in found)
-
     def history(self) -> DataFrame:
         """The ledger, one row per version; empty where no table exists yet."""
-        runs = self._committed_runs()
-        if not runs:
+        try:
+            return self.spark.read.schema(LEDGER).parquet(f"{self.path}/ledger")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], LEDGER)
-        return self.spark.read.schema(LEDGER).parquet(*runs)
 
     def history_report(self) -> DataFrame:
         """The ledger for reading, oldest version first."""
@@ -101,15 +98,14 @@ class VersionedTable:
         if last is None or (version is not None and version > last):
             raise ValueError(f"no version {version} in {self.path}")
         visible = upto.filter(F.col("versao") >= first)
-        # One row per run and column list, however many versions the run has.
-        runs = visible.groupBy("execucao", "colunas").agg(F.min("versao").alias("since")).orderBy("since").collect()
-        columns = list(dict.fromkeys(c for run in runs for c in run["colunas"]))
-        schema = T.StructType(
-            [T.StructField("_versao", T.IntegerType()), *(T.StructField(c, T.StringType()) for c in columns)]
-        )
-        folders = [f"{self.path}/data/{run}" for run in dict.fromkeys(r["execucao"] for r in runs)]
-        data = self.spark.read.schema(schema).parquet(*folders)
-        return data.filter(F.col("_versao").between(first, last))
+        # One row per different column list, however many versions and runs there are.
+        lists = visible.groupBy("colunas").agg(F.min("versao").alias("since")).orderBy("since").collect()
+        columns = list(dict.fromkeys(c for row in lists for c in row["colunas"]))
+        texts = [T.StructField(c, T.StringType()) for c in columns]
+        schema = T.StructType([T.StructField("_versao", T.IntegerType()), *texts, T.StructField("execucao", T.StringType())])
+        data = self.spark.read.schema(schema).parquet(f"{self.path}/data").filter(F.col("_versao").between(first, last))
+        committed = visible.select("execucao").distinct()
+        return data.join(committed, "execucao", "left_semi").select("_versao", *(f"`{c}`" for c in columns))
 
     # -- write -----------------------------------------------------------
 
@@ -128,10 +124,10 @@ class VersionedTable:
         received = [c for c in rows.columns if c not in ("_arquivo_origem", "_path")]
         stamped = all_text(rows).withColumn("_ingerido_em", F.expr(UTC_NOW))
         columns = [*received, "_arquivo_origem", "_ingerido_em"]
-        versions = F.broadcast(numbered.select(F.col("path").alias("_path"), "versao"))
+        versions = numbered.select(F.col("path").alias("_path"), "versao")
         stray = F.raise_error(F.concat(F.lit("row of a file that is not listed: "), F.col("_path")))
         version = F.coalesce("versao", stray.cast("int")).alias("_versao")
-        target = f"{self.path}/data/{run}"
+        target = f"{self.path}/data/execucao={run}"
         stamped.join(versions, "_path", "left").select(version, *columns).write.parquet(target)
 
         stored = self.spark.read.schema("_versao int").parquet(target)
@@ -147,7 +143,11 @@ class VersionedTable:
             F.array(*(F.lit(c) for c in columns)).alias("colunas"),
             F.lit(run).alias("execucao"),
         )
-        entries.write.parquet(f"{self.path}/ledger/{run}")
+        # one file, so that a run appears as a whole; its rows are as few as the run's files
+        entries.coalesce(1).write.mode("append").parquet(f"{self.path}/ledger")
+        twice = self.history().groupBy("versao").count().filter("count > 1")
+        if not twice.isEmpty():
+            raise RuntimeError(f"another writer has written the same versions to {self.path}")
 
 
 def compare_versions(

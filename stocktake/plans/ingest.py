@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from stocktake.operators.sequence import global_sequence
 from stocktake.plans.bronze import APPEND, OVERWRITE, VersionedTable
 from stocktake.sources.delimited import read_delimited
-from stocktake.sources.files import list_files, local_names
+from stocktake.sources.files import list_files, literal, local_names, same_files
 from stocktake.sources.json_envelope import read_envelopes
 from stocktake.sources.sheet import sheets_to_rows
 
@@ -98,15 +98,22 @@ def land(spark: SparkSession, source: Source, listing: DataFrame, bronze: str) -
     """Ingest the listed files of a source; the number of versions written."""
 
     def read_rows(files: DataFrame) -> DataFrame:
-        return source.read(spark, local_names([r["path"] for r in files.select("path").toLocalIterator()]))
+        listed = [r["path"] for r in files.select("path").toLocalIterator()]  # one slice, see FILES_PER_COMMIT
+        rows = source.read(spark, [literal(p) for p in local_names(listed)])
+        if not same_files(rows.inputFiles(), listed):
+            raise ValueError(f"the files read for {source.table} are not those listed")
+        return rows
 
     return ingest(VersionedTable(spark, f"{bronze}/{source.table}"), listing, read_rows, source.mode)
 
 
 def run_bronze(spark: SparkSession, raw: str, bronze: str) -> int:
-    """Ingest all sources of a drop folder; the number of versions written."""
-    written = 0
+    """Ingest all sources of a drop folder; the number of versions written. A source without a file is an error."""
+    listings = []
     for source in (AREAS, REGISTER, READINGS):
         folder = f"{raw}/{source.subfolder}".rstrip("/")
-        written += land(spark, source, list_files(spark, folder, source.glob), bronze)
-    return written
+        listing = list_files(spark, folder, source.glob)
+        if listing.isEmpty():
+            raise FileNotFoundError(f"{folder}/{source.glob}")
+        listings.append((source, listing))
+    return sum(land(spark, source, listing, bronze) for source, listing in listings)

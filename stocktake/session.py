@@ -33,11 +33,13 @@ def build_session(app: str = "stocktake", master: str | None = None, **extra: st
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only where the setting is missing (a bare local test session) a folder in
-    the working directory takes its place.
+    Only in a session without other machines (``local[n]``) a folder in the
+    working directory takes the place of a missing setting.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = os.path.abspath("spark-warehouse/shared")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)

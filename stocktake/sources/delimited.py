@@ -13,32 +13,19 @@ from stocktake.sources.files import file_columns
 MALFORMED = "_malformed"
 
 
-def has_open_quotes(spark: SparkSession, paths: Sequence[str], charset: str) -> bool:
-    """Whether some quoted value runs over a line end.
-
-    The first line of such a record ends inside quotes, that is with an odd
-    number of them; a line with an even number is complete.
-    """
-    text = spark.read.option("encoding", charset).text(list(paths)).select("value")
-    quotes = F.length("value") - F.length(F.translate("value", '"', ""))
-    return not text.filter(quotes % 2 == 1).isEmpty()
-
-
 def read_delimited(
     spark: SparkSession,
     paths: Sequence[str],
     separator: str = ";",
     charset: str = "ISO-8859-1",
-    line_breaks_in_values: bool | None = None,
+    line_breaks_in_values: bool = False,
 ) -> DataFrame:
     """Every value as received text, an empty field as ``''``.
 
-    Files scan in splits unless a quoted value holds a line break, in which
-    case each file is read by one task. Left to ``None`` that is found out by a
-    cheap pass over the lines.
+    Files scan in splits. A source whose quoted values hold line breaks has to
+    say so, and then each file is read by one task; without that, a row that a
+    line break leaves with an open quote is an error.
     """
-    if line_breaks_in_values is None:
-        line_breaks_in_values = has_open_quotes(spark, paths, charset)
     reader = (
         spark.read.option("header", True)
         .option("sep", separator)
@@ -56,7 +43,7 @@ def read_delimited(
 
 
 def _fits(columns: Sequence[str], separator: str) -> Column:
-    """True, or an error for a row with more values than the header has names.
+    """True, or an error for a row with an open quote or more values than the header has names.
 
     Only rows that do not split evenly carry their text in ``MALFORMED``; short
     ones are filled up, long ones must not lose values silently. The message
@@ -67,4 +54,7 @@ def _fits(columns: Sequence[str], separator: str) -> Column:
     surplus = F.from_csv(MALFORMED, F.lit(wider), options).getField(f"c{len(columns)}")
     values = F.concat_ws(separator, *(F.col(f"`{c}`") for c in columns))
     message = F.concat(F.lit("more values than columns: "), F.col(MALFORMED), F.lit(" after "), values)
-    return F.when(surplus.isNotNull(), F.raise_error(message).cast("boolean")).otherwise(True)
+    quotes = F.length(MALFORMED) - F.length(F.translate(MALFORMED, '"', ""))
+    broken = F.raise_error(F.concat(F.lit("open quote in: "), F.col(MALFORMED), F.lit(" after "), values))
+    surplus_error = F.when(surplus.isNotNull(), F.raise_error(message).cast("boolean")).otherwise(True)
+    return F.when(quotes % 2 == 1, broken.cast("boolean")).otherwise(surplus_error)

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
+import hashlib
+import re
+from collections.abc import Iterator, Sequence
+from fnmatch import fnmatch
+from urllib.parse import unquote, urlsplit
+
+import pyarrow as pa
+from pyarrow.fs import FileSystem
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Larger files are fingerprinted line by line, in splits, instead of as one value.
-WHOLE_FILE_BYTES = 256 * 1024 * 1024
+CHUNK_BYTES = 1 << 20
 
 
 def plain_name(encoded: Column) -> Column:
@@ -24,39 +29,63 @@ def file_columns() -> list[Column]:
     ]
 
 
-def list_files(spark: SparkSession, where: str | list[str], glob: str = "*") -> DataFrame:
-    """One row per file of a folder (or of several paths).
+def literal(path: str) -> str:
+    """A path that readers take as it is, not as a pattern."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
 
-    Columns are ``arquivo_origem, path, tamanho, hash_arquivo``.
+def list_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
+    """One row per file of a folder whose name fits: ``arquivo_origem, path, tamanho, hash_arquivo``.
 
-    The fingerprint is the SHA-256 of the bytes. Files above
-    ``WHOLE_FILE_BYTES`` do not fit one value and get the digest of their lines.
+    Scans pass over names that begin with an underscore or a dot; such a file,
+    if its name fits, is an error.
     """
-    return fingerprint(spark, where, glob, WHOLE_FILE_BYTES)
+    if hidden := hidden_files(spark, folder, glob):
+        raise ValueError(f"files that no scan reads: {', '.join(hidden)}")
+    return _fingerprints(spark.read.format("binaryFile").option("pathGlobFilter", glob).load(literal(folder)))
 
 
-def fingerprint(spark: SparkSession, where: str | list[str], glob: str, whole_limit: int) -> DataFrame:
-    whole = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", glob)
-        .load(where)
-        .filter(F.col("length") <= whole_limit)
-        .select("_metadata.file_path", "_metadata.file_name", "length", F.sha2("content", 256).alias("hash_arquivo"))
-    )
-    lines = (
-        spark.read.option("pathGlobFilter", glob)
-        .text(where)
-        .select("value", "_metadata.file_path", "_metadata.file_name", F.col("_metadata.file_size").alias("length"))
-        .filter(F.col("length") > whole_limit)
-        .groupBy("file_path", "file_name", "length")
-        .agg(rows_digest("value").alias("hash_arquivo"))
-    )
-    return whole.unionByName(lines).select(
-        plain_name(F.col("file_name")).alias("arquivo_origem"),
-        F.col("file_path").alias("path"),
+def list_paths(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """The same for single files."""
+    return _fingerprints(spark.read.format("binaryFile").load([literal(p) for p in paths]))
+
+
+def hidden_files(spark: SparkSession, folder: str, glob: str) -> list[str]:
+    """Names in a folder that fit but are hidden from scans; checksum files of file systems don't count."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(literal(folder), "{_,.}*")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    names = (status.getPath().getName() for status in found if status.isFile())
+    return sorted(n for n in names if fnmatch(n, glob) and not n.endswith(".crc") and n != "_SUCCESS")
+
+
+def _fingerprints(found: DataFrame) -> DataFrame:
+    """SHA-256 of the bytes, at every size: each file is streamed in chunks by the task that lists it."""
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = [_sha256(p) for p in batch.column("path").to_pylist()]
+            yield batch.append_column("hash_arquivo", pa.array(hashes, pa.string()))
+
+    listed = found.select(
+        plain_name(F.col("_metadata.file_name")).alias("arquivo_origem"),
+        F.col("_metadata.file_path").alias("path"),
         F.col("length").alias("tamanho"),
-        "hash_arquivo",
     )
+    return listed.mapInArrow(digest, "arquivo_origem string, path string, tamanho long, hash_arquivo string")
+
+
+def _sha256(path: str) -> str:
+    """Of a file by its reported path, whose names are URL-encoded."""
+    parts = urlsplit(path)
+    if parts.scheme in ("", "file"):
+        system, name = FileSystem.from_uri("file:///")[0], unquote(parts.path)
+    else:
+        system, name = FileSystem.from_uri(unquote(path))
+    total = hashlib.sha256()
+    with system.open_input_stream(name) as stream:
+        while chunk := stream.read(CHUNK_BYTES):
+            total.update(chunk)
+    return total.hexdigest()
 
 
 def rows_digest(*columns: str) -> Column:
@@ -72,7 +101,14 @@ def rows_digest(*columns: str) -> Column:
 
 
 def local_names(paths: Sequence[str]) -> list[str]:
-    """Reported paths as readers take them, decoded."""
-    from urllib.parse import unquote
-
+    """Reported paths, decoded."""
     return [unquote(p) for p in paths]
+
+
+def same_files(reported: Sequence[str], listed: Sequence[str]) -> bool:
+    """Whether two lists of reported paths name the same files, each once."""
+
+    def places(paths: Sequence[str]) -> list[tuple[str, str]]:
+        return sorted((urlsplit(p).netloc, urlsplit(p).path) for p in paths)
+
+    return places(reported) == places(listed)

@@ -36,17 +36,20 @@ def read_envelopes(
     """
     reader = spark.read.option("multiLine", not one_per_line).option("mode", "FAILFAST")
     found = schema or reader.json(list(paths)).schema
-    documents = reader.schema(text_schema(found)).json(list(paths))
-    if items in found.names and not _holds_records(found[items].dataType):
-        return documents.select(*file_columns()).limit(0)  # every list is empty
+    # the list stays one even where it is empty everywhere, or holds no records
+    fields = [T.StructField(f.name, _listed(f.dataType) if f.name == items else text_schema(f.dataType)) for f in found.fields]
+    documents = reader.schema(T.StructType(fields)).json(list(paths))
     missing = F.raise_error(F.concat(F.lit(f"no list of {items} in "), F.col("_metadata.file_path")))
     listed = F.when(F.col(items).isNull(), missing).otherwise(F.col(items))
     records = documents.select(F.explode(listed).alias("_record"), *file_columns())
+    if not isinstance(records.schema["_record"].dataType, T.StructType):  # every list is empty
+        return records.drop("_record")
     return flatten(records.select("_record.*", "_arquivo_origem", "_path"))
 
 
-def _holds_records(kind: T.DataType) -> bool:
-    return isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType)
+def _listed(kind: T.DataType) -> T.DataType:
+    shape = text_schema(kind)
+    return shape if isinstance(shape, T.ArrayType) else T.ArrayType(T.StringType())
 
 
 def flatten(df: DataFrame, separator: str = "_") -> DataFrame:

@@ -53,8 +53,9 @@ def sheets_to_rows(books: DataFrame, columns: Sequence[str] | None = None) -> Da
     """
     rows = books.select("path", "content").mapInPandas(_parse_books, ROW_SCHEMA)
     if columns is None:
-        names = rows.select(F.explode(F.map_keys("_valores")).alias("name")).distinct()
-        columns = sorted(r["name"] for r in names.collect())  # a sheet has 16 384 columns at most
+        headers = rows.groupBy(F.map_keys("_valores").alias("names")).agg(F.min("_path").alias("path"))
+        found = headers.orderBy("path", "names").collect()  # different headers of one source
+        columns = list(dict.fromkeys(name for r in found for name in r["names"]))
     return rows.select(
         *(F.col("_valores").getItem(c).alias(c) for c in columns),
         plain_name(F.element_at(F.split("_path", "/"), -1)).alias("_arquivo_origem"),
@@ -82,7 +83,11 @@ def _sheet_records(content: bytes) -> Iterator[dict[str, str | None]]:
     for cells in _sheet_cells(zipfile.ZipFile(io.BytesIO(content))):
         filled = {i: text for i, text in cells.items() if text not in MISSING}
         if not header:
-            header = filled
+            header = {i: text for i, text in cells.items() if text.strip()} if filled else {}
+            if len(set(header.values())) < len(header):
+                raise ValueError(f"a header cell is repeated: {sorted(header.values())}")
+        elif stray := [text for i, text in filled.items() if i not in header]:
+            raise ValueError(f"cells without a header: {stray}")
         elif not filled:
             blanks += 1  # kept only if another filled row follows
         else:

@@ -7,9 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-SMALL_SCAN_SPLITS = 32
-
-
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write the table and return it as read back.
 
@@ -27,14 +24,3 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
     reader = spark.read.schema(schema) if schema else spark.read
     table = reader.parquet(path)
     return table.select(*schema.names) if schema else table
-
-
-def spread_small_scan(df: DataFrame, *columns: str) -> DataFrame:
-    """Redistribute a small scan of fewer splits than there are cores.
-
-    A file in one row group is read by one task, which would then do all the
-    work behind the scan alone. Anything larger than ``SMALL_SCAN_SPLITS``
-    (some gigabytes) is left as it is: shuffling it would cost more than it gains.
-    """
-    splits, cores = df.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *columns) if splits < cores and splits <= SMALL_SCAN_SPLITS else df

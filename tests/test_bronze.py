@@ -193,9 +193,7 @@ def test_unfinished_run_is_invisible(spark, raw, bronze):
     ingest_readings(spark, raw, bronze)
     table = VersionedTable(spark, f"{bronze}/leituras_coleta")
     before = table.snapshot().count()
-    table.snapshot().drop("_path").write.parquet(f"{table.path}/data/dead")
-    spark.range(1).write.parquet(f"{table.path}/ledger/dead")
-    os.remove(f"{table.path}/ledger/dead/_SUCCESS")
+    table.snapshot().drop("_path").write.parquet(f"{table.path}/data/execucao=dead")
     assert (table.snapshot().count(), table.latest_version()) == (before, 1)
 
 
@@ -317,6 +315,44 @@ def test_files_taken_in_as_they_arrive(spark, raw, bronze):
     assert (table.latest_version(), table.snapshot().count()) == (2, 8)
 
 
+def test_replaced_sources_do_not_stream(spark, raw, bronze):
+    with pytest.raises(ValueError, match="replaced in place"):
+        start_arrivals(spark, REGISTER, str(raw), bronze)
+
+
+NAMES = ["lote_[1].json", "lote_1.json", "lote_{a,b}.json", "lote_*.json", "lote_?.json", "lote 100%.json", "lote_a,b.json", "lote_%5B1%5D.json"]
+
+
+def test_awkward_file_names_land_once_each(spark, tmp_path, bronze):
+    raw = tmp_path / "awkward"
+    (raw / "leituras").mkdir(parents=True)
+    for i, name in enumerate(NAMES):
+        write_batch(raw, name, [reading(f"id{i}", "1", 1101, "2026-08-09T09:00:00")])
+    assert land(spark, READINGS, list_files(spark, f"{raw}/leituras", READINGS.glob), bronze) == len(NAMES)
+    table = VersionedTable(spark, f"{bronze}/leituras_coleta")
+    assert rows(table.snapshot(), "_arquivo_origem", "id_leitura") == sorted((n, f"id{i}") for i, n in enumerate(NAMES))
+    assert {r["num_linhas"] for r in table.history().collect()} == {1}
+    assert land(spark, READINGS, list_files(spark, f"{raw}/leituras", READINGS.glob), bronze) == 0
+
+
+def test_hidden_and_missing_files_are_errors(spark, raw, bronze, tmp_path):
+    with pytest.raises(FileNotFoundError, match="areas.xlsx"):
+        (tmp_path / "nothing" / "leituras").mkdir(parents=True)
+        run_bronze(spark, str(tmp_path / "nothing"), bronze)
+    write_batch(raw, "_lote_9.json", BATCHES["lote_1.json"])
+    with pytest.raises(ValueError, match="_lote_9.json"):
+        run_bronze(spark, str(raw), bronze)
+
+
+def test_second_writer_is_noticed(spark, raw, bronze):
+    land(spark, READINGS, list_files(spark, f"{raw}/leituras", READINGS.glob), bronze)
+    table = VersionedTable(spark, f"{bronze}/leituras_coleta")
+    table.history().limit(1).write.mode("append").parquet(f"{table.path}/ledger")
+    write_batch(raw, "lote_9.json", [reading("r9", "123457", 1101, "2026-08-09T09:00:00")])
+    with pytest.raises(RuntimeError, match="another writer"):
+        land(spark, READINGS, list_files(spark, f"{raw}/leituras", READINGS.glob), bronze)
+
+
 def test_command_line(spark, raw, bronze, tmp_path, capsys):
     layers = str(tmp_path / "layers")
     assert main(["ingest", str(raw), bronze]) == 0

@@ -38,11 +38,11 @@ def test_delimited_keeps_text_as_received(spark, tmp_path):
 
 def test_line_break_inside_a_value(spark, tmp_path):
     path = write(tmp_path / "carga.csv", 'a;b\r\n1;"x\ny"\r\n2;z\r\n')
-    assert delimited.has_open_quotes(spark, [path], "ISO-8859-1")
-    df = delimited.read_delimited(spark, [path])
+    df = delimited.read_delimited(spark, [path], line_breaks_in_values=True)
     assert rows(df, "a", "b") == [("1", "x\ny"), ("2", "z")]
-    plain = write(tmp_path / "plain.csv", REGISTER)
-    assert not delimited.has_open_quotes(spark, [plain], "ISO-8859-1")
+    # a source that doesn't announce line breaks must not have them
+    with pytest.raises(Exception, match="open quote"):
+        delimited.read_delimited(spark, [path]).collect()
 
 
 def test_short_rows_are_filled_and_long_ones_refused(spark, tmp_path):
@@ -194,22 +194,30 @@ def test_file_listing_and_fingerprint(spark, tmp_path):
         ("a b.csv", 1, hashlib.sha256(b"y").hexdigest()),
         ("b.csv", 1, hashlib.sha256(b"x").hexdigest()),
     ]
-    paths = files.local_names([r["path"] for r in listing.collect()])
+    paths = [files.literal(p) for p in files.local_names([r["path"] for r in listing.collect()])]
     assert spark.read.text(paths).count() == 2
 
 
-def test_files_too_large_for_one_value(spark, tmp_path):
-    write(tmp_path / "small.csv", "k;v\n1;2\n")
-    write(tmp_path / "large.csv", "k;v\n" + "".join(f"{i};{i}\n" for i in range(100)))
+def test_fingerprint_is_of_the_bytes(spark, tmp_path):
+    contents = [b"h;v\r\n1;a\r\n2;b\r\n", b"2;b\nh;v\n1;a\n", b"h;v\n1;a\n2;b\n", bytes(range(256)) * 20_000]
+    for i, content in enumerate(contents):
+        (tmp_path / f"{i}.csv").write_bytes(content)
+    found = dict(rows(files.list_files(spark, str(tmp_path), "*.csv"), "arquivo_origem", "hash_arquivo"))
+    assert found == {f"{i}.csv": hashlib.sha256(c).hexdigest() for i, c in enumerate(contents)}
 
-    def hashes():
-        return dict(rows(files.fingerprint(spark, str(tmp_path), "*.csv", 100), "arquivo_origem", "hash_arquivo"))
 
-    before = hashes()
-    assert len(before) == 2 and before["small.csv"] == hashlib.sha256(b"k;v\n1;2\n").hexdigest()
-    assert hashes() == before
-    write(tmp_path / "large.csv", "k;v\n" + "".join(f"{i};{i + (i == 50)}\n" for i in range(100)))
-    assert hashes()["large.csv"] != before["large.csv"]
+@pytest.mark.parametrize(
+    "cells",
+    [
+        '<row><c r="B1" t="inlineStr"><is><t>b</t></is></c></row><row><c r="A2"><v>1</v></c></row>',
+        '<row><c t="inlineStr"><is><t>b</t></is></c><c t="inlineStr"><is><t>b</t></is></c></row>',
+    ],
+    ids=["no header", "repeated header"],
+)
+def test_sheet_cells_are_not_dropped(spark, tmp_path, cells):
+    (tmp_path / "a.xlsx").write_bytes(book(cells))
+    with pytest.raises(Exception, match="header"):
+        sheet.read_sheets(spark, str(tmp_path)).collect()
 
 
 def test_seed_from_literals_and_from_file(spark, tmp_path):
