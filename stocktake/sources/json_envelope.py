@@ -35,7 +35,7 @@ def read_envelopes(
     that infers it.
     """
     reader = spark.read.option("multiLine", not one_per_line).option("mode", "FAILFAST")
-    found = schema or reader.json(list(paths)).schema
+    found = schema or _inferred(spark, paths, one_per_line)
     # the list stays one even where it is empty everywhere, or holds no records
     fields = [T.StructField(f.name, _listed(f.dataType) if f.name == items else text_schema(f.dataType)) for f in found.fields]
     documents = reader.schema(T.StructType(fields)).json(list(paths))
@@ -47,6 +47,15 @@ def read_envelopes(
     return flatten(records.select("_record.*", "_arquivo_origem", "_path"))
 
 
+def _inferred(spark: SparkSession, paths: Sequence[str], one_per_line: bool) -> T.StructType:
+    """The schema of all documents. Whole files go in as text, as inference would take their names for patterns."""
+    reader = spark.read.option("mode", "FAILFAST")
+    if one_per_line:
+        return reader.json(list(paths)).schema
+    texts = spark.read.text(list(paths), wholetext=True)
+    return reader.json(texts.rdd.map(lambda row: row[0])).schema
+
+
 def _listed(kind: T.DataType) -> T.DataType:
     shape = text_schema(kind)
     return shape if isinstance(shape, T.ArrayType) else T.ArrayType(T.StringType())
