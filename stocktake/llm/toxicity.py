@@ -29,6 +29,8 @@ PRIOR_SHARE = 0.02
 BOUND = 2.5
 TOKEN_COST = 0.1
 SIGNIFICANCE = 0.05
+#: Of lambda, for collections whose tokens expect to score above zero.
+LEAST_RATE = 0.05
 FOLDS = 5
 EULER = 0.5772156649015329
 RESULT = "doc_id long, score double, n_tokens long, n_passages long, best_start long, best_length long"
@@ -158,7 +160,7 @@ def _counted(rows: DataFrame, only: set[str] | None = None) -> DataFrame:
 
 
 def _shares(docs: DataFrame, scores: dict[str, float]) -> list[tuple[float, float]]:
-    """Shares of all tokens by score, in steps of a tenth."""
+    """Shares of a document's tokens by score, in steps of a tenth, on average over all documents."""
     shared = docs.sparkSession.sparkContext.broadcast(scores)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,12 +168,14 @@ def _shares(docs: DataFrame, scores: dict[str, float]) -> list[tuple[float, floa
         seen: Counter = Counter()
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                seen.update(map(steps.__getitem__, tokens(text)))
-        yield pa.RecordBatch.from_pydict({"step": pa.array(list(seen), pa.int64()), "n": pa.array(list(seen.values()), pa.int64())})
+                words = tokens(text)
+                for step, n in Counter(map(steps.__getitem__, words)).items():
+                    seen[step] += n / len(words)
+        yield pa.RecordBatch.from_pydict({"step": pa.array(list(seen), pa.int64()), "n": pa.array(list(seen.values()), pa.float64())})
 
-    found = docs.select("text").mapInArrow(count, "step long, n long").groupBy("step").agg(F.sum("n").alias("n")).collect()
+    found = docs.select("text").mapInArrow(count, "step long, n double").groupBy("step").agg(F.sum("n").alias("n")).collect()
     every = max(1, sum(r["n"] for r in found))
-    return [(r["n"] / every, r["step"] / 10) for r in found if r["step"]]
+    return sorted((r["n"] / every, r["step"] / 10) for r in found if r["step"])
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, words: int = LEXICON) -> Model:
@@ -235,7 +239,7 @@ def _rate(shares: list[tuple[float, float]]) -> float:
     for _ in range(60):
         middle = (low + high) / 2
         low, high = (middle, high) if excess(middle) < 0 else (low, middle)
-    return max(low, 1e-3)
+    return max(low, LEAST_RATE)
 
 
 def _measured_rows(rows: DataFrame, model: Model) -> DataFrame:
