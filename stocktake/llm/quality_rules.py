@@ -56,7 +56,7 @@ def line_fails(line: Column) -> Column:
     """Whether a line breaks a rule; a line without a word breaks none."""
     words = F.regexp_count(line, F.lit(r"[^\x20\x09-\x0D]+"))
     marks = F.regexp_count(line, F.lit(r"[#*$%&<>]+|!!+"))
-    separators = F.regexp_count(line, F.lit(r"(?:^|[ \t])[|›»·•>](?=[ \t\r]|$)"))
+    separators = F.regexp_count(line, F.lit(r"(^|[ \t])[|›»·•>]([ \t\r]|$)"))
     punctuation = (marks > words * F.lit(MARKS_PER_WORD)) | ~line.rlike(r"[\p{L}\p{N}]")
     low = F.lower(F.trim(line))
     navigation = ((separators >= MIN_SEPARATORS) & (separators > words * F.lit(SEPARATORS_PER_WORD))) | ((words <= MENU_LINE_WORDS) & low.rlike(MENU))

@@ -12,12 +12,13 @@ from stocktake.llm.bpe_codec import encode_decode
 from stocktake.llm.decontaminate import leaks
 from stocktake.llm.line_dedup import deduped
 from stocktake.llm.pii import pseudonymised
+from stocktake.llm import quality_rules
 from stocktake.llm.quality_rules import METRICS, judged
 from stocktake.llm.simhash_dedup import near_duplicates
 from stocktake.llm.substring_dedup import dedup_substrings
 from stocktake.llm.suffix_dedup import dedup_bytes
 from stocktake.llm.toxicity import fold, score, train
-from stocktake.llm.warc import capture_index
+from stocktake.llm.warc import FIRST_SECOND, capture_index
 from stocktake.session import shared_folder
 
 #: Of the pseudonyms in the registered query; real data need a secret one.
@@ -88,4 +89,82 @@ QUERIES: dict[str, Query] = {
     "op9_warc_index": op9_warc_index,
     "op10_bpe_codec": op10_bpe_codec,
 }
-ORACLE: dict[str, str] = {}
+
+# -- SQL, for those operators whose rows it can express ----------------------------------
+
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+ORACLE: dict[str, str] = {
+    "op1_substring_dedup": f"""
+WITH w AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+windows AS (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 49)) AS s FROM w),
+keyed AS (SELECT doc_id, s, array_to_string(ws[s:s + 49], ' ') AS k FROM windows),
+least_of AS (SELECT k, min(doc_id) AS first_doc FROM keyed GROUP BY k),
+gone AS (SELECT DISTINCT doc_id, s + unnest(range(50)) AS p FROM keyed JOIN least_of USING (k) WHERE first_doc < doc_id),
+places AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM w),
+marked AS (SELECT places.doc_id, word, p, gone.p IS NOT NULL AS off,
+    lag(gone.p IS NOT NULL, 1, false) OVER (PARTITION BY places.doc_id ORDER BY p) AS off_before
+  FROM places LEFT JOIN gone USING (doc_id, p)),
+kept AS (SELECT doc_id, count(*) FILTER (off) AS n_removed, count(*) FILTER (off AND NOT off_before) AS n_spans,
+    string_agg(word, ' ' ORDER BY p) FILTER (NOT off) AS rest FROM marked GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(coalesce(rest, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)""",
+    "op2_suffix_dedup": """
+WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS (SELECT doc_id, h, unnest(generate_series(1, length(h) // 2 - 49)) AS s FROM b),
+keyed AS (SELECT doc_id, s, substr(h, 2 * s - 1, 100) AS k FROM windows),
+least_of AS (SELECT k, min(doc_id) AS first_doc FROM keyed GROUP BY k),
+hits AS (SELECT doc_id, s FROM keyed JOIN least_of USING (k) WHERE first_doc < doc_id),
+starts AS (SELECT doc_id, s, coalesce(s > 50 + lag(s) OVER (PARTITION BY doc_id ORDER BY s), true) AS fresh FROM hits),
+numbered AS (SELECT doc_id, s, sum(fresh::int) OVER (PARTITION BY doc_id ORDER BY s) AS span FROM starts),
+spans AS (SELECT doc_id, span, min(s) AS a, max(s) + 50 AS z FROM numbered GROUP BY doc_id, span),
+around AS (SELECT doc_id, span, a, z, lag(z, 1, 1) OVER (PARTITION BY doc_id ORDER BY a) AS before FROM spans),
+cut AS (SELECT doc_id, sum(z - a) AS n_removed, count(*) AS n_spans, max(z) AS tail,
+    string_agg(substr(h, 2 * before - 1, 2 * (a - before)), '' ORDER BY a) AS head
+  FROM around JOIN b USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0)::bigint AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(head || substr(h, 2 * tail - 1), h))) AS kept_sha256
+FROM b LEFT JOIN cut USING (doc_id)""",
+    "op5_quality_rules": rf"""
+WITH w AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS ws FROM documents),
+windows AS (SELECT doc_id, unnest(range(1, len(ws) - 1)) AS s, ws FROM w),
+keyed AS (SELECT doc_id, s, count(*) OVER (PARTITION BY doc_id, ws[s], ws[s + 1], ws[s + 2]) AS n FROM windows),
+inside AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, s + unnest([0, 1, 2]) AS p FROM keyed WHERE n > 1) GROUP BY doc_id),
+lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM w),
+judged AS (SELECT *, len(regexp_extract_all(line, '[^ 	-]+')) AS words, lower(trim(line, ' ')) AS low,
+    len(regexp_extract_all(line, '[#*$%&<>]+|!!+')) AS marks, len(regexp_extract_all(line, '(^|[ 	])[|›»·•>]([ 	]|$)')) AS bars FROM lines),
+failing AS (SELECT doc_id, line, i, words > 0 AS filled, words > 0 AND (
+      marks > words * {quality_rules.MARKS_PER_WORD}::double OR NOT regexp_matches(line, '[\p{{L}}\p{{N}}]')
+      OR (bars >= {quality_rules.MIN_SEPARATORS} AND bars > words * {quality_rules.SEPARATORS_PER_WORD}::double)
+      OR (words <= {quality_rules.MENU_LINE_WORDS} AND regexp_matches(low, '{quality_rules.MENU}'))
+      OR regexp_matches(low, '{quality_rules.BOILERPLATE}')) AS fails FROM judged),
+kept AS (SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT fails), '') AS clean,
+    count(*) FILTER (filled) - count(DISTINCT line) FILTER (filled) AS n_dup_lines FROM failing GROUP BY doc_id),
+base AS (SELECT doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+    len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, n_dup_lines, coalesce(inside.n, 0) AS n_repeat_words,
+    length(text) - length(clean) AS n_lost_chars, length(text) AS chars
+  FROM w LEFT JOIN inside USING (doc_id) JOIN kept USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < {quality_rules.MIN_WORDS} OR 100 * n_repeat_words > {quality_rules.MAX_REPEAT_PERCENT} * n_words AS base_failed,
+  NOT (n_words < {quality_rules.MIN_WORDS} OR 100 * n_repeat_words > {quality_rules.MAX_REPEAT_PERCENT} * n_words)
+    AND 100 * n_lost_chars <= {quality_rules.MAX_LOST_PERCENT} * chars AS kept, n_lost_chars
+FROM base""",
+    "op9_warc_index": f"""
+WITH p AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+parts AS (SELECT *, [('0x' || substr(h, i, 10))::ubigint FOR i IN [1, 11, 21, 31]] AS words,
+    lower(split_part(trim(url, ' '), '#', 1)) AS plain FROM p),
+hosts AS (SELECT *, CASE WHEN contains(plain, '://') THEN substr(plain, position('://' IN plain) + 3) ELSE plain END AS rest FROM parts),
+named AS (SELECT *, regexp_extract(rest, '^[^/?]*') AS host, min(page_id) OVER (PARTITION BY html) AS first_page FROM hosts),
+split AS (SELECT *, list_extract(string_split(host, '@'), -1) AS own FROM named)
+SELECT page_id, octet_length(encode(html)) AS payload_bytes,
+  array_to_string([array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((v >> s) & 31)::int, 1)
+    FOR s IN [35, 30, 25, 20, 15, 10, 5, 0]], '') FOR v IN words], '') AS payload_digest,
+  CASE WHEN page_id = first_page THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_page THEN first_page END AS refers_to,
+  array_to_string(list_reverse([x FOR x IN string_split(regexp_replace(split_part(own, ':', 1), '^www[.]', ''), '.') IF x <> '']), ',')
+    || CASE WHEN split_part(own, ':', 2) IN ('', '80', '443') THEN '' ELSE ':' || split_part(own, ':', 2) END
+    || ')' || CASE WHEN length(rest) > length(host) THEN substr(rest, length(host) + 1) ELSE '/' END AS url_key,
+  strftime(make_timestamp(({FIRST_SECOND} + page_id % 1000000000) * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS captured
+FROM split""",
+}
