@@ -10,6 +10,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -51,6 +52,7 @@ def main() -> None:
         spark__driver__memory="8g",
         spark__driver__extraJavaOptions="-XX:+UseParallelGC",
         spark__ui__showConsoleProgress="false",
+        spark__checkpoint__dir=os.environ.get("BENCH_SHARED_DIR") or tempfile.mkdtemp(prefix="stocktake-bench-"),
     )
     spark.sparkContext.setLogLevel("ERROR")
 

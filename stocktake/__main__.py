@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from stocktake.plans.bronze import VersionedTable, batch_summary, compare_versions
 from stocktake.plans.build import build_layers, check_layers, current_bronze, open_layers
@@ -17,19 +17,28 @@ from stocktake.session import build_session
 SHOWN = 1000
 
 
+def report(df: DataFrame, to: str | None) -> None:
+    """All rows as CSV below a path, if one is given; on the screen only the first ones."""
+    if to:
+        df.write.option("header", True).csv(to)
+    else:
+        df.show(SHOWN, truncate=False)
+        print(f"the first {SHOWN} rows at most; --to PATH writes all")
+
+
 def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     print(f"{run_bronze(spark, args.raw, args.bronze)} new version(s)")
 
 
 def build(spark: SparkSession, args: argparse.Namespace) -> None:
-    report = check_layers(build_layers(current_bronze(spark, args.bronze), args.layers))
-    report.filter("situacao <> 'PASS'").show(SHOWN, truncate=False)
-    summary(report).show()
-    require_passed(report)
+    checks = check_layers(build_layers(current_bronze(spark, args.bronze), args.layers))
+    checks.filter("situacao <> 'PASS'").show(SHOWN, truncate=False)
+    summary(checks).show()
+    require_passed(checks)
 
 
 def ask(spark: SparkSession, args: argparse.Namespace) -> None:
-    QUESTIONS[args.question](open_layers(spark, args.layers)).show(SHOWN, truncate=False)
+    report(QUESTIONS[args.question](open_layers(spark, args.layers)), args.to)
 
 
 def raw(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -41,7 +50,7 @@ def raw(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def history(spark: SparkSession, args: argparse.Namespace) -> None:
     table = VersionedTable(spark, args.table)
-    table.history_report().show(SHOWN, truncate=False)
+    report(table.history_report(), args.to)
     if "exercicio" in table.snapshot().columns:
         compared = compare_versions(table, lambda df: batch_summary(df, ["exercicio"]), args.version)
         compared.orderBy("versao", "exercicio").show(SHOWN, truncate=False)
@@ -60,9 +69,13 @@ def main(argv: list[str] | None = None) -> int:
 
     command(ingest, "raw", "bronze")
     command(build, "bronze", "layers")
-    command(ask, "layers").add_argument("question", choices=sorted(QUESTIONS))
+    asked = command(ask, "layers")
+    asked.add_argument("question", choices=sorted(QUESTIONS))
+    asked.add_argument("--to")
     command(raw, "bronze")
-    command(history, "table").add_argument("--version", type=int)
+    told = command(history, "table")
+    told.add_argument("--version", type=int)
+    told.add_argument("--to")
     args = parser.parse_args(argv)
     try:
         args.run(build_session(), args)

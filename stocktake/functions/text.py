@@ -76,6 +76,19 @@ def drop_leading_words(text: Column, *words: str) -> Column:
 
 def proper_name(text: Column, particles: Sequence[str] = NAME_PARTICLES) -> Column:
     """Squeezed text with every word capitalised except the particles."""
+    return _by_script(text, _ascii_names(text, particles), _exact_names(text, particles))
+
+
+def _ascii_names(text: Column, particles: Sequence[str]) -> Column:
+    """All words capitalised, then the first letters of particles made small again."""
+    shown = F.initcap(F.lower(F.trim(F.regexp_replace(text, BLANK_RUN, " "))))
+    for first in sorted({p[0] for p in particles}):
+        rests = "|".join(p[1:] for p in particles if p[0] == first)
+        shown = F.regexp_replace(shown, f"(?<![^ ]){first.upper()}(?=(?:{rests})(?![^ ]))", first)
+    return shown
+
+
+def _exact_names(text: Column, particles: Sequence[str]) -> Column:
     words = F.split(normal_lower(F.regexp_replace(text, BLANK_RUN, " ")), " ")
     capitalised = F.transform(
         words,
