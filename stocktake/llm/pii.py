@@ -222,7 +222,8 @@ def pseudonymised(docs: DataFrame, key: str, text_col: str = "text") -> DataFram
     def entry(m: Column) -> Column:
         return bound(_kind(m), lambda kind: F.struct(kind.alias("kind"), m.alias("value"), _pseudonym(kind, m, key).alias("pseudonym")))
 
-    found = docs.withColumn("_all", F.transform(matches, entry))
+    # generated, not projected: so it is computed once for both columns
+    found = docs.select("*", F.explode(F.array(F.transform(matches, entry))).alias("_all"))
     between = F.split(text, PATTERN, -1)
     joined = F.array_join(F.zip_with(between, F.col("_all"), lambda t, m: F.concat(t, F.coalesce(m["pseudonym"], F.lit("")))), "")
     changed = F.when(F.size("_all") > 0, joined).otherwise(text)

@@ -106,4 +106,6 @@ def judged(docs: DataFrame, text_col: str = "text") -> DataFrame:
         lost.cast("long").alias("n_lost_chars"),
         q["clean_text"].alias("clean_text"),
     )
-    return docs.withColumn("_quality", bound(raw, of_text)).withColumn("quality", verdict).drop("_quality")
+    # generated, not projected: so it is computed once, whatever is asked of it further on
+    measured = docs.select("*", F.explode(F.transform(F.array(raw), of_text)).alias("_quality"))
+    return measured.withColumn("quality", verdict).drop("_quality")
