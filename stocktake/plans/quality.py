@@ -107,35 +107,42 @@ def violations(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
     raise ValueError(f"unknown check {check.kind}")
 
 
+ROW_KINDS = ("not_null", "accepted_values", "exclusive_flags")
+
+
+def _row_violations(check: Check) -> Column:
+    """Aggregate: NULLs, different values outside the list, or rows whose flags do not sum to one."""
+    column = F.col(check.columns[0])
+    if check.kind == "not_null":
+        return F.count_if(column.isNull())
+    if check.kind == "accepted_values":
+        return F.count_distinct(F.when(~column.isin(*check.values), column))
+    return F.count_if(reduce(Column.__add__, [F.col(f) for f in check.columns]) != 1)
+
+
+def _line(check: Check, violations: Column) -> Column:
+    return F.struct(
+        F.lit(check.kind).alias("verificacao"),
+        F.lit(check.table).alias("tabela"),
+        F.lit(check.label).alias("coluna"),
+        F.lit(check.severity).alias("severidade"),
+        violations.alias("violacoes"),
+    )
+
+
 def run_checks(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per check: what, where, how severe, how many violations, status.
 
-    All not-null checks of a table share one scan.
+    All checks of a table that look at one row at a time share one scan.
     """
     frames = []
-    for table in dict.fromkeys(c.table for c in checks if c.kind == "not_null"):
-        group = {c.columns[0]: c for c in checks if c.kind == "not_null" and c.table == table}
-        severity = F.element_at(F.create_map(*(F.lit(x) for n, c in group.items() for x in (n, c.severity))), F.col("coluna"))
-        frames.append(
-            count_nulls(tables[table], list(group)).select(
-                F.lit("not_null").alias("verificacao"),
-                F.lit(table).alias("tabela"),
-                "coluna",
-                severity.alias("severidade"),
-                F.col("violacoes").cast("bigint").alias("violacoes"),
-            )
-        )
+    for table in dict.fromkeys(c.table for c in checks if c.kind in ROW_KINDS):
+        group = [c for c in checks if c.kind in ROW_KINDS and c.table == table]
+        counts = tables[table].agg(*(_row_violations(c).cast("bigint").alias(f"v{i}") for i, c in enumerate(group)))
+        frames.append(counts.select(F.inline(F.array(*(_line(c, F.col(f"v{i}")) for i, c in enumerate(group))))))
     for check in checks:
-        if check.kind != "not_null":
-            frames.append(
-                violations(check, tables).select(
-                    F.lit(check.kind).alias("verificacao"),
-                    F.lit(check.table).alias("tabela"),
-                    F.lit(check.label).alias("coluna"),
-                    F.lit(check.severity).alias("severidade"),
-                    "violacoes",
-                )
-            )
+        if check.kind not in ROW_KINDS:
+            frames.append(violations(check, tables).select(F.inline(F.array(_line(check, F.col("violacoes"))))))
     failed = F.when(F.col("severidade") == WARN, "WARN").otherwise("FAIL")
     status = F.when(F.col("violacoes") == 0, "PASS").otherwise(failed)
     return reduce(DataFrame.unionByName, frames).withColumn("situacao", status)
