@@ -62,3 +62,24 @@ def test_reports_cover_the_whole_fact(spark):
     fact = queries["layer_fact"](spark, SF_DIR)
     for name in ("rate_by_year", "rate_by_region", "rate_two_criteria"):
         assert queries[name](spark, SF_DIR).groupBy().sum("bens_em_carga").first()[0] == fact.count()
+
+
+ORDERS = {
+    "rate_by_year": lambda r: (r["exercicio"],),
+    "rate_by_region": lambda r: (r["exercicio"], r["taxa_localizacao_pct"], r["regiao"], r["comarca"]),
+    "rate_two_criteria": lambda r: (
+        r["exercicio"],
+        -(r["taxa_criterio_antigo_pct"] - r["taxa_criterio_novo_pct"]),
+        r["comarca"],
+    ),
+    "role_playing_flow": lambda r: (r["exercicio"], -r["bens"], r["area_da_carga"], r["area_onde_foi_lido"]),
+    "quarantine_summary": lambda r: (r["lote"], r["motivo"]),
+    "count_by_raw_value": lambda r: (-r["leituras"], r["origem_leitura"] is not None, r["origem_leitura"] or ""),
+}
+
+
+@pytest.mark.parametrize("name", sorted(ORDERS))
+def test_reports_come_in_their_order(spark, name):
+    found = [r.asDict() for r in QUERIES[name](spark, SF_DIR).collect()]
+    keys = [tuple(round(x, 9) if isinstance(x, float) else x for x in ORDERS[name](r)) for r in found]
+    assert keys == sorted(keys) and len(found) > 1
