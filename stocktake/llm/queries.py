@@ -19,7 +19,6 @@ from stocktake.llm.substring_dedup import dedup_substrings
 from stocktake.llm.suffix_dedup import dedup_bytes
 from stocktake.llm.toxicity import fold, score, train
 from stocktake.llm.warc import FIRST_SECOND, capture_index
-from stocktake.session import shared_folder
 
 #: Of the pseudonyms in the registered query; real data need a secret one.
 KEY = "registered query"
@@ -53,7 +52,6 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shared_folder(spark)
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = fold(F.col("doc_id")) == 0
     model = train(docs, _table(spark, sf_dir, "labels").where(~held_out))
@@ -132,8 +130,10 @@ windows AS (SELECT doc_id, unnest(range(1, len(ws) - 1)) AS s, ws FROM w),
 keyed AS (SELECT doc_id, s, count(*) OVER (PARTITION BY doc_id, ws[s], ws[s + 1], ws[s + 2]) AS n FROM windows),
 inside AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, s + unnest([0, 1, 2]) AS p FROM keyed WHERE n > 1) GROUP BY doc_id),
 lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM w),
-judged AS (SELECT *, len(regexp_extract_all(line, '[^ 	-]+')) AS words, lower(trim(line, ' ')) AS low,
-    len(regexp_extract_all(line, '[#*$%&<>]+|!!+')) AS marks, len(regexp_extract_all(line, '(^|[ 	])[|›»·•>]([ 	]|$)')) AS bars FROM lines),
+judged AS (SELECT *, len(regexp_extract_all(line, '[^ 	-
+]+')) AS words, lower(trim(line, ' ')) AS low,
+    len(regexp_extract_all(line, '[#*$%&<>]+|!!+')) AS marks, len(regexp_extract_all(line, '(^|[ 	])[|›»·•>]([ 	
+]|$)')) AS bars FROM lines),
 failing AS (SELECT doc_id, line, i, words > 0 AS filled, words > 0 AND (
       marks > words * {quality_rules.MARKS_PER_WORD}::double OR NOT regexp_matches(line, '[\p{{L}}\p{{N}}]')
       OR (bars >= {quality_rules.MIN_SEPARATORS} AND bars > words * {quality_rules.SEPARATORS_PER_WORD}::double)
