@@ -22,10 +22,11 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stocktake.session import shared_folder
-
 LABELLED_ROWS = 20_000
 LEXICON = 20_000
+#: Features of this many toxic documents at least are candidates, the most frequent first, up to this number.
+LEAST_DOCS = 3
+CANDIDATES = 100_000
 PRIOR_DOCS = 5.0
 PRIOR_SHARE = 0.02
 BOUND = 2.5
@@ -187,28 +188,29 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, words:
     it, and at most ``words`` features get a score of their own; the shares of
     features and tokens are those of all documents. Rows without id or label teach nothing.
     """
-    shared_folder(docs.sparkSession)
     labels = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
     labels = labels.select(F.col("doc_id").cast("long"), (F.col("toxic") > 0).cast("int").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(rows)
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     taught = docs.join(F.broadcast(labels), "doc_id")
-    counts = _counted(taught).groupBy("feature").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"), F.sum("n").alias("n"))
-    counts = counts.checkpoint()
-    sizes = counts.where("feature = ''").first()
-    if sizes is None or sizes["a"] in (0, sizes["n"]):
+    # only features of toxic documents can speak for the label, so the others are counted for those alone
+    toxic = _counted(taught.where("toxic = 1")).where(F.col("n") >= LEAST_DOCS).select("feature", F.col("n").alias("a"))
+    found = toxic.orderBy(F.desc("a"), "feature").limit(CANDIDATES).collect()
+    counts = {r["feature"]: [r["a"], 0] for r in found}
+    for r in _counted(taught.where("toxic = 0"), set(counts)).collect():
+        counts.setdefault(r["feature"], [0, 0])[1] = r["n"]
+    total, others = counts.pop("", [0, 0])
+    if not total or not others:
         return Model({})
-    expected = F.col("n") * (sizes["a"] / sizes["n"])
-    surplus = (F.col("a") - expected) / F.sqrt(expected)
-    top = counts.where(F.col("feature") != "").where(F.col("a") > expected).orderBy(F.desc(surplus), "feature").limit(words).collect()
-    known = {r["feature"]: (r["a"], r["n"] - r["a"]) for r in top}
+    surplus = {f: (a - e) / math.sqrt(e) for f, (a, b) in counts.items() if (e := (a + b) * total / (total + others)) < a}
+    known = {f: tuple(counts[f]) for f in sorted(surplus, key=lambda f: (-surplus[f], f))[:words]}
     spread = {r["feature"]: r["n"] for r in _counted(docs.select("text", F.lit(0).alias("toxic")), set(known)).collect()}
     held = {f: spread.get(f, 0) / spread[""] for f in known}
-    scores = _scores(known, sizes["a"], sizes["n"] - sizes["a"], held)
+    scores = _scores(known, total, others, held)
     model = Model(scores, _rate(_shares(docs, scores)))
     quartiles = F.percentile_approx("x", F.array(F.lit(0.25), F.lit(0.75)), 10_000)
     fitted = _measured_rows(taught, model).groupBy("toxic").agg(F.count("*").alias("n"), quartiles.alias("q"))
     by_label = {r["toxic"]: r for r in fitted.collect()}
-    model.share = sizes["a"] / sizes["n"]
+    model.share = total / (total + others)
     for name, label in (("other", 0), ("toxic", 1)):
         low, high = by_label[label]["q"]
         scale = max(0.05, (high - low) / (math.log(math.log(4)) - math.log(math.log(4 / 3))))
