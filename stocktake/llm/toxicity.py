@@ -13,12 +13,12 @@ best segments, and their ratio gives the score.
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +37,7 @@ LEAST_RATE = 0.05
 FOLDS = 5
 EULER = 0.5772156649015329
 RESULT = "doc_id long, score double, n_tokens long, n_passages long, best_start long, best_length long"
-_TOKEN = regex.compile(r"[^\W\d_]+")
+_TOKEN = re.compile(r"[^\W\d_]+")
 _FLUSH = 300_000
 _MEMO = 200_000
 #: Lengths of the beginnings of words that are features.
