@@ -1,0 +1,33 @@
+"""What the second review found cut short: each operator on the cases it passed over."""
+
+from __future__ import annotations
+
+import random
+
+from stocktake.llm.line_dedup import deduped
+
+
+# -- line dedup --------------------------------------------------------------------
+
+
+def _runs(line, k=5):
+    return {line[a : a + k] for a in range(max(1, len(line) - k + 1))}
+
+
+def _jaccard(a, b):
+    return len(_runs(a) & _runs(b)) / len(_runs(a) | _runs(b))
+
+
+def _typo(line, at):
+    return line[:at] + "#" + line[at + 1 :]
+
+
+def test_lines_are_compared_by_their_characters(docs_of, prose):
+    r = random.Random(8)
+    letters = [chr(0x4E00 + k) for k in range(3000)]
+    lines = [prose(700 + i, 14) for i in range(6)] + ["".join(r.choices(letters, k=90)) for _ in range(3)] + ["".join(r.choices([*letters, "\U0001F600"], k=90)), "https://" + "".join(r.choices("abcdefgh0123/", k=90))]
+    near = [_typo(line, line.find(" ", 20) + 1) for line in lines]
+    assert all(_jaccard(a, b) > 0.86 for a, b in zip(lines, near))
+    far = ["abcd", "abce", "漢字", "漢文", "aaaaaa", "aaaaaaaaa"]  # the last two have one run, the same
+    got = {x.doc_id: x.removed_lines for x in deduped(docs_of([(1, "\n".join(lines)), (2, "\n".join(near)), (3, "\n".join(far))])).collect()}
+    assert got == {1: [], 2: list(range(len(near))), 3: [5]}
