@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
-from stocktake.llm.line_dedup import deduped
+from pyspark.sql import functions as F
+
+from stocktake.llm.line_dedup import deduped, without_lines
 
 
 # -- line dedup --------------------------------------------------------------------
@@ -31,3 +34,14 @@ def test_lines_are_compared_by_their_characters(docs_of, prose):
     far = ["abcd", "abce", "漢字", "漢文", "aaaaaa", "aaaaaaaaa"]  # the last two have one run, the same
     got = {x.doc_id: x.removed_lines for x in deduped(docs_of([(1, "\n".join(lines)), (2, "\n".join(near)), (3, "\n".join(far))])).collect()}
     assert got == {1: [], 2: list(range(len(near))), 3: [5]}
+
+
+def test_rows_with_one_id_have_lines_of_their_own(docs_of, prose):
+    a, b, c, d, e = (prose(720 + i, 15) for i in range(5))
+    rows = [(1, a), (None, a + "\n" + b), (None, c + "\n" + d), (7, e + "\n" + b), (7, e + "\n" + c), (7, e + "\n" + c)]
+    docs = docs_of(rows).coalesce(1)
+    got = [(x.doc_id, x.n_lines, x.removed_lines) for x in deduped(docs).collect()]
+    assert Counter(map(str, got)) == Counter(map(str, [(1, 1, []), (None, 2, [0, 1]), (None, 2, [0]), (7, 2, []), (7, 2, [0]), (7, 2, [0, 1])]))
+    texts = Counter((x.doc_id, x.text) for x in without_lines(docs).collect())
+    assert texts == Counter([(1, a), (None, ""), (None, d), (7, e + "\n" + b), (7, c), (7, "")])
+    assert without_lines(docs.withColumn("extra", F.lit(1))).columns == [*docs.columns, "extra"]
