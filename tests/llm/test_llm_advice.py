@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections import Counter
 
 from pyspark.sql import functions as F
 
-from stocktake.llm.line_dedup import deduped, without_lines
+from stocktake.llm.line_dedup import banding, deduped, least_agreeing, without_lines
 
 
 # -- line dedup --------------------------------------------------------------------
@@ -45,3 +46,19 @@ def test_rows_with_one_id_have_lines_of_their_own(docs_of, prose):
     texts = Counter((x.doc_id, x.text) for x in without_lines(docs).collect())
     assert texts == Counter([(1, a), (None, ""), (None, d), (7, e + "\n" + b), (7, c), (7, "")])
     assert without_lines(docs.withColumn("extra", F.lit(1))).columns == [*docs.columns, "extra"]
+
+
+def test_bands_and_sketches_follow_the_similarity(docs_of, prose):
+    for similarity in (0.3, 0.5, 0.6, 0.7, 0.8, 0.85, 0.9, 0.99):
+        bands, rows = banding(similarity)
+        assert (1 - similarity**rows) ** bands <= 0.0066  # as seven bands of three at 0.8
+        below = sum(math.comb(bands * rows, n) * similarity**n * (1 - similarity) ** (bands * rows - n) for n in range(least_agreeing(bands * rows, similarity)))
+        assert below <= 1 / 300_000
+    bands, rows = banding(0.8)
+    assert (1 - 0.85**rows) ** bands < 0.0013 and banding(1.0)[0] == 1
+    lines = [prose(740 + i, 16) for i in range(120)]
+    near = ["".join("#" if n % 16 == 7 else c for n, c in enumerate(line)) for line in lines]
+    alike = [n for n, pair in enumerate(zip(lines, near)) if _jaccard(*pair) >= 0.45]
+    got = {x.doc_id: x.removed_lines for x in deduped(docs_of([(1, "\n".join(lines)), (2, "\n".join(near))]), similarity=0.45).collect()}
+    assert got[1] == [] and len(alike) > 100 and len({*got[2]} & {*alike}) >= len(alike) - 4
+    assert {*got[2]} <= {*alike}
