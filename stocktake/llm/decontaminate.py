@@ -6,7 +6,9 @@ where there are fewer). Windows that hold too few shingles of items of their
 size to be similar are passed over; the others get a SimHash. Item fingerprints
 are indexed by blocks of bits with all their neighbours, so that every item
 within ``RADIUS`` bits of a window is found; for these the weighted Jaccard
-similarity of the bags decides.
+similarity of the bags decides. A text with fewer words than an item, but so many
+that it can be similar, is one window as a whole, and its bag is compared with the
+items' without a SimHash.
 
 The benchmark is a query set, taken in passes of a bounded number of items; the
 documents are read once per pass and never shuffled.
@@ -89,6 +91,9 @@ class Items:
             self.widths.append(width)
             prints.append(_fingerprints(shingles, np.zeros(1, np.int64), len(shingles))[0])
         self.prints = np.array(prints, np.uint64)
+        self.alike: dict[tuple[int, int], list[int]] = {}
+        for i, kind in enumerate(zip(self.widths, self.sizes)):
+            self.alike.setdefault(kind, []).append(i)
         self.kinds: dict[int, dict[int, np.ndarray]] = {}
         for bag, size, width in zip(self.bags, self.sizes, self.widths):
             by_size = self.kinds.setdefault(width, {})
@@ -128,20 +133,22 @@ def weighted_similarity(a: Counter, b: Counter) -> float:
     return common / (a.total() + b.total() - common)
 
 
-def _found(items: Items, data: np.ndarray, offsets: np.ndarray, similarity: float) -> Iterator[tuple[int, int, float, int]]:
-    """(row, item, similarity, first word in the row) of every similar window."""
+def _found(items: Items, data: np.ndarray, offsets: np.ndarray, similarity: float) -> Iterator[tuple[int, int, float, int, int]]:
+    """(row, item, similarity, first word in the row, words) of every similar window."""
     codes, rows = _words(data, offsets)
     first_word = np.searchsorted(rows, np.arange(len(offsets)))
     for width, by_size in items.kinds.items():
         shingles = rolling_hashes(codes, width, 22)
         known = np.flatnonzero(in_sorted(shingles, items.every[width]))
+        if len(known):
+            yield from _shorter(items, shingles, known, first_word, width, similarity)
         for size, own in by_size.items():
             if not len(known):
                 break
             hits = known[in_sorted(shingles[known], own)]
             words = size + width - 1
             # of two bags of this size, the common part must be so large
-            needed = max(1, math.ceil(2 * size * similarity / (1 + similarity) - 1e-9))
+            needed = _needed(size, size, similarity)
             if len(hits) < needed:
                 continue
             # a window begins at most size - 1 places before a hit
@@ -154,6 +161,30 @@ def _found(items: Items, data: np.ndarray, offsets: np.ndarray, similarity: floa
                     yield from _verified(items, shingles, rows, first_word, part, size, width, similarity)
 
 
+def _needed(size: int, other: int, similarity: float) -> int:
+    """How many shingles two bags of these sizes have in common at least, if they are similar."""
+    return max(1, math.ceil((size + other) * similarity / (1 + similarity) - 1e-9))
+
+
+def _shorter(items: Items, shingles: np.ndarray, known: np.ndarray, first_word: np.ndarray, width: int, similarity: float) -> Iterator[tuple[int, int, float, int, int]]:
+    """Of the rows with fewer words than an item, those that are similar to it as a whole."""
+    by_size = items.kinds[width]
+    sizes = np.maximum(np.diff(first_word) - width + 1, 0)
+    hits = np.searchsorted(known, first_word[:-1] + sizes) - np.searchsorted(known, first_word[:-1])
+    # the next larger size asks for the fewest common shingles
+    likely = (sizes > 0) & (sizes < max(by_size)) & (hits >= (2 * sizes + 1) * similarity / (1 + similarity) - 1e-9)
+    for row in np.flatnonzero(likely).tolist():
+        own = int(sizes[row])
+        mine = shingles[first_word[row] : first_word[row] + own]
+        bag = Counter(mine.tolist())
+        for size, theirs in by_size.items():
+            if own < size and own >= similarity * size - 1e-9 and np.count_nonzero(in_sorted(mine, theirs)) >= _needed(own, size, similarity):
+                for item in items.alike[width, size]:
+                    found = weighted_similarity(bag, items.bags[item])
+                    if found >= similarity:
+                        yield row, item, found, 0, own + width - 1
+
+
 def _near(hits: np.ndarray, size: int) -> np.ndarray:
     """All places from ``size - 1`` before a hit up to the hit, once."""
     gap = np.minimum(np.diff(hits, prepend=hits[0] - size), size)
@@ -161,7 +192,7 @@ def _near(hits: np.ndarray, size: int) -> np.ndarray:
     return at + np.arange(len(at)) - np.repeat(np.cumsum(gap) - gap, gap)
 
 
-def _verified(items: Items, shingles: np.ndarray, rows: np.ndarray, first_word: np.ndarray, begins: np.ndarray, size: int, width: int, similarity: float) -> Iterator[tuple[int, int, float, int]]:
+def _verified(items: Items, shingles: np.ndarray, rows: np.ndarray, first_word: np.ndarray, begins: np.ndarray, size: int, width: int, similarity: float) -> Iterator[tuple[int, int, float, int, int]]:
     used = _near(begins + size - 1, size)  # all shingles of the windows, in order
     prints = _fingerprints(shingles[used], np.searchsorted(used, begins), size)
     bags: dict[int, Counter] = {}
@@ -174,7 +205,7 @@ def _verified(items: Items, shingles: np.ndarray, rows: np.ndarray, first_word:
         found = weighted_similarity(bags[place], items.bags[item])
         if found >= similarity:
             row = int(rows[begin])
-            yield row, item, found, begin - int(first_word[row])
+            yield row, item, found, begin - int(first_word[row]), size + width - 1
 
 
 def row_slices(offsets: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
@@ -190,7 +221,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     """One row per document and item found in it: the best window, and how many windows are similar.
 
     Windows of an item's number of words count from a weighted Jaccard
-    similarity of ``similarity`` on; of equally good ones the first is given.
+    similarity of ``similarity`` on; of equally good ones the first is given. A
+    text with fewer words than the item is one window.
     Null and empty texts and items have no words and match nothing; repeated
     rows of documents are reported each, repeated items too; null ids are kept;
     an empty table on either side gives no rows; other columns are not read.
@@ -215,12 +247,12 @@ def _one_pass(docs: DataFrame, items: Items, similarity: float) -> DataFrame:
             data, offsets = text_bytes(batch.column("text"))
             best: dict[tuple[int, int], list] = {}
             for a, b in row_slices(offsets, SLICE_BYTES):
-                for row, item, found, word in _found(items, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], similarity):
-                    now = best.setdefault((a + row, item), [found, word, 0])
-                    now[2] += 1
+                for row, item, found, word, words in _found(items, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], similarity):
+                    now = best.setdefault((a + row, item), [found, word, words, 0])
+                    now[3] += 1
                     if (-found, word) < (-now[0], now[1]):
                         now[:2] = found, word
-            rows = [(ids[row], items.ids[item], s, w, items.sizes[item] + items.widths[item] - 1, n) for (row, item), (s, w, n) in best.items()]
+            rows = [(ids[row], items.ids[item], *found) for (row, item), found in best.items()]
             columns = list(zip(*rows)) or [()] * 6
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "item_id", "similarity", "first_word", "n_words", "n_windows"])

@@ -8,6 +8,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
+from stocktake.llm.decontaminate import leaks
 from stocktake.llm.line_dedup import banding, deduped, least_agreeing, without_lines
 
 
@@ -62,3 +63,27 @@ def test_bands_and_sketches_follow_the_similarity(docs_of, prose):
     got = {x.doc_id: x.removed_lines for x in deduped(docs_of([(1, "\n".join(lines)), (2, "\n".join(near))]), similarity=0.45).collect()}
     assert got[1] == [] and len(alike) > 100 and len({*got[2]} & {*alike}) >= len(alike) - 4
     assert {*got[2]} <= {*alike}
+
+
+# -- decontamination ---------------------------------------------------------------
+
+
+def test_texts_shorter_than_an_item_are_compared_as_a_whole(spark, docs_of, prose):
+    items = [(i, prose(760 + i, 30 + 6 * i)) for i in range(6)] + [(10, "one two three four five six seven eight nine"), (11, "of two"), (12, "a b " * 30)]
+    cut = lambda i, a, b: " ".join(dict(items)[i].split()[a:b])
+    docs = [(k, cut(k % 6, k // 12, -1 - k // 6)) for k in range(48)]
+    docs += [(60, cut(10, 0, 8)), (61, cut(10, 0, 7)), (62, "of"), (63, ""), (64, None), (65, cut(12, 0, 55)), (66, cut(5, 0, -1) + "!"), (67, cut(5, 0, 30) + " zz " + cut(5, 31, -1))]
+    expected = {}
+    for d, text in docs:
+        words = (text or "").replace("!", "").split()
+        for i, item in items:
+            own = item.split()
+            if min(len(own), 5) <= len(words) < len(own):
+                width = min(5, len(own))
+                bag, other = (Counter(tuple(x[a : a + width]) for a in range(len(x) - width + 1)) for x in (words, own))
+                common = (bag & other).total()
+                if (s := common / (bag.total() + other.total() - common)) >= 0.8:
+                    expected[d, i] = (s, 0, len(words), 1)
+    table = spark.createDataFrame(items, "item_id long, text string")
+    got = {(x.doc_id, x.item_id): (x.similarity, x.first_word, x.n_words, x.n_windows) for x in leaks(docs_of(docs), table, items_per_pass=5).collect()}
+    assert got == expected and len(got) > 30 and {(60, 10), (65, 12), (67, 5)} <= set(got) and (61, 10) not in got
