@@ -24,9 +24,6 @@ from pyspark.sql import functions as F
 
 LABELLED_ROWS = 20_000
 LEXICON = 20_000
-#: Features of this many toxic documents at least are candidates, the most frequent first, up to this number.
-LEAST_DOCS = 3
-CANDIDATES = 100_000
 PRIOR_DOCS = 5.0
 PRIOR_SHARE = 0.02
 BOUND = 2.5
@@ -192,17 +189,17 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, words:
     labels = labels.select(F.col("doc_id").cast("long"), (F.col("toxic") > 0).cast("int").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(rows)
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     taught = docs.join(F.broadcast(labels), "doc_id")
-    # only features of toxic documents can speak for the label, so the others are counted for those alone
-    toxic = _counted(taught.where("toxic = 1")).where(F.col("n") >= LEAST_DOCS).select("feature", F.col("n").alias("a"))
-    found = toxic.orderBy(F.desc("a"), "feature").limit(CANDIDATES).collect()
-    counts = {r["feature"]: [r["a"], 0] for r in found}
-    for r in _counted(taught.where("toxic = 0"), set(counts)).collect():
-        counts.setdefault(r["feature"], [0, 0])[1] = r["n"]
-    total, others = counts.pop("", [0, 0])
+    sizes = {r["toxic"]: r["n"] for r in taught.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    total, others = sizes.get(1, 0), sizes.get(0, 0)
     if not total or not others:
         return Model({})
-    surplus = {f: (a - e) / math.sqrt(e) for f, (a, b) in counts.items() if (e := (a + b) * total / (total + others)) < a}
-    known = {f: tuple(counts[f]) for f in sorted(surplus, key=lambda f: (-surplus[f], f))[:words]}
+    # only features of toxic documents can speak for the label
+    counts = _counted(taught.where("toxic = 1")).where("feature != ''").select("feature", F.col("n").alias("a"))
+    counts = counts.join(_counted(taught.where("toxic = 0")).select("feature", F.col("n").alias("b")), "feature", "left").fillna(0, ["b"])
+    expected = (F.col("a") + F.col("b")) * (total / (total + others))
+    surplus = (F.col("a") - expected) / F.sqrt(expected)
+    top = counts.where(F.col("a") > expected).orderBy(F.desc(surplus), "feature").limit(words).collect()
+    known = {r["feature"]: (r["a"], r["b"]) for r in top}
     spread = {r["feature"]: r["n"] for r in _counted(docs.select("text", F.lit(0).alias("toxic")), set(known)).collect()}
     held = {f: spread.get(f, 0) / spread[""] for f in known}
     scores = _scores(known, total, others, held)

@@ -8,6 +8,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
+from stocktake.llm import toxicity
 from stocktake.llm.decontaminate import leaks
 from stocktake.llm.line_dedup import banding, deduped, least_agreeing, without_lines
 
@@ -87,3 +88,18 @@ def test_texts_shorter_than_an_item_are_compared_as_a_whole(spark, docs_of, pros
     table = spark.createDataFrame(items, "item_id long, text string")
     got = {(x.doc_id, x.item_id): (x.similarity, x.first_word, x.n_words, x.n_windows) for x in leaks(docs_of(docs), table, items_per_pass=5).collect()}
     assert got == expected and len(got) > 30 and {(60, 10), (65, 12), (67, 5)} <= set(got) and (61, 10) not in got
+
+
+# -- toxicity ----------------------------------------------------------------------
+
+
+def test_rare_toxic_rows_teach_too(spark, docs_of, prose):
+    rows = [(i, prose(2000 + i, 30) + (" vermin" if i < 2 else "")) for i in range(300)]
+    labels = spark.createDataFrame([(i, int(i < 2)) for i, _ in rows], "doc_id long, toxic int")
+    model = toxicity.train(docs_of(rows), labels)
+    assert model.scores["vermin"] == max(model.scores.values()) > 1
+    got = {x.doc_id: x.score for x in toxicity.score(docs_of(rows), model).collect()}
+    assert min(got[0], got[1]) > max(got[i] for i in range(2, 300))
+    # the features of most surplus are taken, however frequent others are
+    few = toxicity.train(docs_of(rows), labels, words=4)
+    assert set(few.scores) == {"vermin", *("vermin"[:k] + "*" for k in (3, 4, 5))}
