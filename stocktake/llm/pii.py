@@ -24,15 +24,18 @@ FIRST_DAY = "1900-01-01"
 #: Days from FIRST_DAY on that dates are permuted among, as the product of the two parts' sizes.
 DAY_PARTS = (150, 487)
 
+#: Codes of countries but North America's: of one, two or three digits.
+COUNTRY_CODE = r"^(?:7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 #: Shapes by kind, tried in this order at each place.
 SHAPES = {
+    # phones: after +1 no separator is needed; without +1 one between the groups, or none at all in a number that stands alone
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "secret": r"(?<![A-Za-z])(?i:password|passwd|secret|api[_-]?key|access[_-]?key|token)[ \t]{0,3}[=:][ \t]{0,3}[\"']?[A-Za-z0-9_/+=-]{8,}",
     "date": r"(?<![\d-])\d{4}-\d\d-\d\d(?![\d-])|(?<![\d./])\d\d([./])\d\d\1\d{4}(?!\d)",
     "ssn": r"(?<![\d-])\d{3}-\d\d-\d{4}(?![\d-])",
     "ip": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)",
-    "phone": r"(?<![\d+])(?:\+?1[ .-]?)?(?:\([2-9]\d\d\) ?|[2-9]\d\d[ .-])[2-9]\d\d[ .-]\d{4}(?![\d-])|(?<![\d+])\+[2-9]\d{0,2}(?:[ .-]?\d{2,4}){2,4}(?!\d)",
+    "phone": r"(?<![\d+])(?:\+?1[ .-]?)?(?:\([2-9]\d\d\) ?|[2-9]\d\d[ .-])[2-9]\d\d[ .-]?\d{4}(?![\d-])|(?<![\d+])\+1[ .-]?[2-9]\d\d[2-9]\d\d[ .-]?\d{4}(?![\d-])|(?<![\w.+-])1?[2-9]\d\d[2-9]\d{6}(?![\w-]|\.\d)|(?<![\d+])\+[2-9]\d{0,2}(?:[ .-]?\d{2,4}){2,4}(?!\d)",
     "card": r"(?<![\d.-])\d(?:[ -]?\d){12,18}(?![\d-])",
 }
 PATTERN = "|".join(f"(?:{shape.replace('([./])', f'(?<dot>[./])').replace(chr(92) + '1', chr(92) + 'k<dot>')})" for shape in SHAPES.values())
@@ -130,7 +133,13 @@ def _phone(m: Column, key: str) -> Column:
         area, rest = F.substring(own, 1, 3).cast("long") - 200, F.substring(own, 4, 7).cast("long") - 2_000_000
         new = permuted(area * 8_000_000 + rest, F.lit(800), F.lit(8_000_000), key, "phone")
         north = bound(new, lambda x: _filled(m, F.concat(F.substring(d, F.lit(1), F.char_length(d) - 10), (F.floor(x / 8_000_000) + 200).cast("string"), (x % 8_000_000 + 2_000_000).cast("string"))))
-        abroad = F.concat(F.regexp_extract(m, r"^\+\d{1,2}", 0), permuted_letters(F.regexp_replace(m, r"^\+\d{1,2}", ""), key, "phone"))
+        # the digits after the country's code, whatever stands between them
+        code = F.regexp_extract(d, COUNTRY_CODE, 0)
+        width = F.char_length(d) - F.char_length(code)
+        number = F.substring(d, F.char_length(code) + 1, width).cast("long")
+        size = lambda k: F.pow(F.lit(10.0), k).cast("long")
+        half = F.floor(width / 2).cast("int")
+        abroad = _filled(m, F.concat(code, _padded(permuted(number, size(width - half), size(half), key, "abroad"), width)))
         return F.when(~m.rlike(r"^\+[2-9]"), north).when(F.char_length(d).between(8, 15), abroad).otherwise(m)
 
     return bound(_digits(m), of_digits)
@@ -187,7 +196,7 @@ def _secret(m: Column, key: str) -> Column:
 
 
 KINDS: dict[str, Callable[[Column, str], Column]] = {"email": _email, "secret": _secret, "date": _date, "ssn": _ssn, "ip": _ip, "phone": _phone, "card": _card}
-_MARKS = {"email": "@", "secret": r"^[A-Za-z].*[=:]", "date": r"^(\d{4}-\d\d-\d\d|\d\d[./]\d\d[./]\d{4})$", "ssn": r"^\d{3}-\d\d-\d{4}$", "ip": r"^\d+(\.\d+){3}$", "phone": r"^(\+.*|1?[ .-]?\(.*|(1[ .-])?\d{3}[ .-]\d{3}[ .-]\d{4})$"}
+_MARKS = {"email": "@", "secret": r"^[A-Za-z].*[=:]", "date": r"^(\d{4}-\d\d-\d\d|\d\d[./]\d\d[./]\d{4})$", "ssn": r"^\d{3}-\d\d-\d{4}$", "ip": r"^\d+(\.\d+){3}$", "phone": r"^(\+.*|1?[ .-]?\(.*|(1[ .-]?)?\d{3}[ .-]?\d{3}[ .-]?\d{4})$"}
 
 
 def _kind(m: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import re
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from stocktake.llm import toxicity
 from stocktake.llm.decontaminate import leaks
 from stocktake.llm.line_dedup import banding, deduped, least_agreeing, without_lines
+from stocktake.llm.pii import pseudonymised
 
 
 # -- line dedup --------------------------------------------------------------------
@@ -103,3 +105,30 @@ def test_rare_toxic_rows_teach_too(spark, docs_of, prose):
     # the features of most surplus are taken, however frequent others are
     few = toxicity.train(docs_of(rows), labels, words=4)
     assert set(few.scores) == {"vermin", *("vermin"[:k] + "*" for k in (3, 4, 5))}
+
+
+# -- pseudonyms --------------------------------------------------------------------
+
+
+def test_phones_in_all_spellings_keep_their_links(docs_of):
+    own = ["+12125551234", "+1 2125551234", "+1-212-555-1234", "+1 (212) 555-1234", "212-5551234", "(212) 5551234", "212.555.1234", "2125551234", "12125551234", "1 212 555 1234"]
+    foreign = [["+44 20 7946 0958", "+442079460958", "+44-2079-460958"], ["+7 495 123 45 67", "+74951234567"], ["+353 12 345 6789", "+353123456789"], ["+4930123456", "+49 30 123456"]]
+    values = [*own, *(v for group in foreign for v in group)]
+    stay = ["1125551234", "2121551234", "0.2125551234", "2125551234567", "ab2125551234", "2125551234-1", "+1 123 456 7890"]
+    rows = [(i, f"call {v}. Or {v}, now") for i, v in enumerate([*values, *stay])]
+    shown = {}
+    for x in pseudonymised(docs_of(rows), "key").collect():
+        first, second = re.fullmatch(r"call (.*)\. Or (.*), now", x.text).groups()
+        value = [*values, *stay][x.doc_id]
+        assert first == second and re.sub(r"\d", "0", first) == re.sub(r"\d", "0", value)
+        assert (first == value) == (value in stay) and {e.kind for e in x.pii} == ({"phone"} if value in values else set())
+        shown[value] = re.sub(r"\D", "", first)
+    assert len({shown[v][-10:] for v in own}) == 1
+    for group, code in zip(foreign, ("44", "7", "353", "49")):
+        assert len({shown[v] for v in group}) == 1 and shown[group[0]].startswith(code)
+
+
+def test_foreign_phones_are_permuted(docs_of):
+    numbers = [f"+44 20 7946 {k:04d}" for k in range(0, 900, 3)]
+    got = [x.text for x in pseudonymised(docs_of(enumerate(numbers)), "key").collect()]
+    assert len(set(got)) == len(numbers) and all(re.fullmatch(r"\+44 \d\d \d{4} \d{4}", x) for x in got)
