@@ -12,6 +12,7 @@ from stocktake.llm.bpe_codec import encode_decode
 from stocktake.llm.decontaminate import leaks
 from stocktake.llm.line_dedup import deduped
 from stocktake.llm.pii import pseudonymised
+from stocktake.llm.prefix_trie import prefix_trie, rebuilt, turns
 from stocktake.llm import quality_rules
 from stocktake.llm.quality_rules import METRICS, judged
 from stocktake.llm.simhash_dedup import near_duplicates
@@ -75,6 +76,12 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations share up to five first turns with the first of their hundred."""
+    borrowed = F.crc32(F.col("conv").cast("string")) % 6
+    return prefix_trie(rebuilt(turns(_table(spark, sf_dir, "conversations")), 100, borrowed, 5))
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -86,6 +93,7 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_warc_index": op9_warc_index,
     "op10_bpe_codec": op10_bpe_codec,
+    "op11_prefix_trie": op11_prefix_trie,
 }
 
 # -- SQL, for those operators whose rows it can express ----------------------------------
@@ -167,4 +175,22 @@ SELECT page_id, octet_length(encode(html)) AS payload_bytes,
     || ')' || CASE WHEN length(rest) > length(host) THEN substr(rest, length(host) + 1) ELSE '/' END AS url_key,
   strftime(make_timestamp(({FIRST_SECOND} + page_id % 1000000000) * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS captured
 FROM split""",
+    "op11_prefix_trie": """
+WITH t AS (SELECT conv_id AS c, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL),
+received AS (SELECT c, list({r: r, x: x} ORDER BY turn NULLS FIRST, sha256(octet_length(encode(r))::varchar || ':' || r || x)) AS ts FROM t GROUP BY c),
+hashed AS (SELECT c, ts, xor(list_reduce(list_concat([4294967295], flatten([[ascii(d), -1, -1, -1, -1, -1, -1, -1, -1] FOR d IN string_split(c::varchar, '')])),
+    lambda a, v: CASE WHEN v >= 0 THEN xor(a, v) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END), 4294967295) % 6 AS h FROM received),
+built AS (SELECT a.c, list_concat(coalesce(b.ts, [])[:a.h], a.ts[a.h + 1:]) AS ts FROM hashed a LEFT JOIN received b ON b.c = a.c - a.c % 100),
+steps AS (SELECT c, len(ts) AS n, unnest(generate_series(0, len(ts))) AS depth, ts FROM built),
+nodes AS (SELECT depth, ts[:depth] AS path, min(c) AS conv_id, count(*) AS n_convs,
+    coalesce(string_agg(c::varchar, ',' ORDER BY c) FILTER (n = depth), '') AS ends FROM steps GROUP BY ALL),
+children AS (SELECT depth - 1 AS depth, path[:depth - 1] AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+counted AS (SELECT nodes.*, coalesce(children.n, 0) AS n_children FROM nodes LEFT JOIN children USING (depth, path)),
+below AS (SELECT depth, path, unnest(generate_series(0, depth)) AS up,
+    (n_convs - 1) * coalesce(length(path[depth].x), 0) AS saved, (n_children = 0)::int AS leaf FROM counted),
+sums AS (SELECT up AS depth, path[:up] AS path, sum(saved) AS saved_tokens, sum(leaf) AS n_leaves FROM below GROUP BY ALL)
+SELECT counted.conv_id, counted.depth, parents.conv_id AS parent_conv_id, counted.n_convs, counted.n_children,
+  n_leaves::bigint AS n_leaves, saved_tokens::bigint AS saved_tokens, sha256(counted.ends) AS ends_sha256
+FROM counted JOIN sums USING (depth, path)
+LEFT JOIN nodes parents ON parents.depth = counted.depth - 1 AND parents.path = counted.path[:counted.depth - 1]""",
 }
