@@ -16,6 +16,7 @@ from stocktake.llm.prefix_trie import prefix_trie, rebuilt, turns
 from stocktake.llm import quality_rules
 from stocktake.llm.quality_rules import METRICS, judged
 from stocktake.llm.simhash_dedup import near_duplicates
+from stocktake.llm.source_audit import audit
 from stocktake.llm.substring_dedup import dedup_substrings
 from stocktake.llm.suffix_dedup import dedup_bytes
 from stocktake.llm.toxicity import fold, score, train
@@ -82,6 +83,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(rebuilt(turns(_table(spark, sf_dir, "conversations")), 100, borrowed, 5))
 
 
+def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -94,6 +99,7 @@ QUERIES: dict[str, Query] = {
     "op9_warc_index": op9_warc_index,
     "op10_bpe_codec": op10_bpe_codec,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_source_audit": op12_source_audit,
 }
 
 # -- SQL, for those operators whose rows it can express ----------------------------------
@@ -193,4 +199,26 @@ SELECT counted.conv_id, counted.depth, parents.conv_id AS parent_conv_id, counte
   n_leaves::bigint AS n_leaves, saved_tokens::bigint AS saved_tokens, sha256(counted.ends) AS ends_sha256
 FROM counted JOIN sums USING (depth, path)
 LEFT JOIN nodes parents ON parents.depth = counted.depth - 1 AND parents.path = counted.path[:counted.depth - 1]""",
+    "op12_source_audit": r"""
+WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+tokens AS (SELECT row, lang, source, unnest(terms) AS term FROM d),
+kept AS (SELECT lang, term, count(*)::hugeint AS n FROM tokens GROUP BY lang, term HAVING count(DISTINCT row) >= 10),
+langs AS (SELECT lang, count(*)::hugeint AS v, sum(n)::hugeint AS total FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM d),
+counts AS (SELECT lang, source, term, count(*)::hugeint AS n FROM tokens SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+totals AS (SELECT lang, source, sum(n)::hugeint AS total FROM counts GROUP BY ALL),
+shares AS (SELECT groups.lang, groups.source, term, coalesce(counts.n, 0) AS n,
+    1 + (1000000000::hugeint * (coalesce(counts.n, 0) + 2)) // (coalesce(totals.total, 0) + 2 * v) AS p,
+    1 + (1000000000::hugeint * (kept.n + 2)) // (langs.total + 2 * v) AS q
+  FROM groups JOIN kept USING (lang) JOIN langs USING (lang) LEFT JOIN counts USING (lang, source, term) LEFT JOIN totals USING (lang, source)),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+listed AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::bigint AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::bigint FROM shares WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::int AS rank FROM listed)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10""",
 }
