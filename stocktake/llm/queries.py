@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stocktake.llm.bpe_codec import encode_decode
 from stocktake.llm.decontaminate import leaks
+from stocktake.llm.language_model import score_texts
 from stocktake.llm.line_dedup import deduped
 from stocktake.llm.pii import pseudonymised
 from stocktake.llm.prefix_trie import prefix_trie, rebuilt, turns
@@ -87,6 +88,11 @@ def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(_table(spark, sf_dir, "documents"))
 
 
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    return score_texts(_table(spark, sf_dir, "documents"), held_out)
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -100,6 +106,7 @@ QUERIES: dict[str, Query] = {
     "op10_bpe_codec": op10_bpe_codec,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_source_audit": op12_source_audit,
+    "op13_lm_scoring": op13_lm_scoring,
 }
 
 # -- SQL, for those operators whose rows it can express ----------------------------------
