@@ -213,7 +213,10 @@ def _rows(batch: pa.RecordBatch | pa.Table) -> Iterator[dict]:
 
 
 def _merge_words(offers: pa.Table) -> pa.Table:
-    """Counts of a bucket's words over all chunks, sent back in each chunk's order, with the words' ranks here."""
+    """Counts of a bucket's words over all chunks, sent back in each chunk's order, with the words' ranks here.
+
+    The row of totals has the words' hashes by rank.
+    """
     rows = sorted(_rows(offers), key=lambda r: r["gid"])
     known: dict[bytes, int] = {}
     ranks = [np.fromiter((known.setdefault(w, len(known)) for w in _unpacked_words(r["words"])), np.int64) for r in rows]
@@ -225,7 +228,8 @@ def _merge_words(offers: pa.Table) -> pa.Table:
     if BEGIN in known:
         tokens[known[BEGIN]] = 0
     out = [(bucket, r["gid"], _packed(mine), _packed(counts[mine]), 0, 0) for r, mine in zip(rows, ranks)]
-    out.append((bucket, STATS, b"", b"", int(tokens.sum()), int(np.count_nonzero(tokens))))
+    hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in known), np.uint64, len(known))
+    out.append((bucket, STATS, _packed(hashes.view(np.int64)), b"", int(tokens.sum()), int(np.count_nonzero(tokens))))
     return pa.Table.from_batches([_batch(WORD_STATE, out)])
 
 
@@ -251,15 +255,15 @@ def _merge_pairs(offers: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_batch(PAIR_REPLIES, out)])
 
 
-def _seat_words(state: pa.Table, sums: pa.Table, weight: float | None, discount: float, sweep: int) -> pa.Table:
+def _seat_words(state: pa.Table, reports: pa.Table, weight: float | None, discount: float, sweep: int) -> pa.Table:
     """The restaurant of single words: customers are the tables of all contexts; its tables are seated here.
 
     ``weight`` is that of a new table; None puts each word at one table.
     """
-    reported = {r["gid"]: r for r in _rows(sums)}
-    rows = sorted((r for r in _rows(state) if r["gid"] != STATS), key=lambda r: r["gid"])
-    ranks = [_unpacked(r["ranks"]) for r in rows]
-    size = max(int(x.max()) for x in ranks) + 1
+    reported = {r["gid"]: r for r in _rows(reports)}
+    totals, *rows = sorted(_rows(state), key=lambda r: r["gid"])
+    hashes = _unpacked(totals["ranks"]).view(np.uint64)
+    ranks, size = [_unpacked(r["ranks"]) for r in rows], len(hashes)
     own, customers = np.zeros(size, np.int64), np.zeros(size, np.int64)
     for r, mine in zip(rows, ranks):
         own[mine] += _unpacked(reported[r["gid"]]["tables"])
@@ -268,10 +272,10 @@ def _seat_words(state: pa.Table, sums: pa.Table, weight: float | None, discount:
     if weight is None:
         tables = np.minimum(customers, 1)
     else:
-        tables = seat(customers, np.full(size, weight), discount, mix(np.arange(size, dtype=np.uint64) + np.uint64(bucket << 36), 51), sweep)
+        tables = seat(customers, np.full(size, weight), discount, mix(hashes, 51), sweep)
     out = [(bucket, r["gid"], _packed(own[mine]), _packed(customers[mine]), _packed(tables[mine]), 0, 0, 0, 0) for r, mine in zip(rows, ranks)]
-    totals = (int(customers.sum()), int(tables.sum()), int(np.count_nonzero(customers == 1)), int(np.count_nonzero(customers == 2)))
-    return pa.Table.from_batches([_batch(SEATS, [*out, (bucket, STATS, b"", b"", b"", *totals)])])
+    sums = (int(customers.sum()), int(tables.sum()), int(np.count_nonzero(customers == 1)), int(np.count_nonzero(customers == 2)))
+    return pa.Table.from_batches([_batch(SEATS, [*out, (bucket, STATS, b"", b"", b"", *sums)])])
 
 
 # -- sweeps and scores, in the chunks ------------------------------------------------
@@ -373,6 +377,21 @@ def _discount(once: int, twice: int) -> float:
     return min(max(once / max(once + 2 * twice, 1), 0.05), 0.95)
 
 
+def _placed(chunks: DataFrame, parts: int) -> DataFrame:
+    """The chunks, checkpointed where their number puts them, so that later steps send replies there and move no chunk.
+
+    A checkpoint keeps the partitioning of a plan that adaptive execution does
+    not wrap, so it is off for this one job.
+    """
+    conf = chunks.sparkSession.conf
+    adaptive = conf.get("spark.sql.adaptive.enabled")
+    conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return chunks.repartition(parts, "gid").checkpoint()
+    finally:
+        conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
 def score_texts(
     docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text",
     sweeps: int = SWEEPS, unused: int = UNUSED, chunk_bytes: int = CHUNK_BYTES, bucket_pairs: int = BUCKET_PAIRS,
@@ -400,8 +419,7 @@ def score_texts(
 
     plain = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Placed by chunk once; the later steps send their replies to where it is.
-    chunks = plain.mapInArrow(lambda batches: _chunks(batches, chunk_bytes), CHUNKS).repartition(parts, "gid").checkpoint()
+    chunks = _placed(plain.mapInArrow(lambda batches: _chunks(batches, chunk_bytes), CHUNKS), parts)
     buckets = max(parts, -(-(chunks.agg(F.sum("tokens")).first()[0] or 0) // bucket_pairs))
 
     words = stored(chunks.mapInArrow(partial(_offer_words, buckets=buckets), WORD_OFFERS).groupBy("bucket").applyInArrow(_merge_words, WORD_STATE), "lm-words")
