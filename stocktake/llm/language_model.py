@@ -248,7 +248,7 @@ def _merge_pairs(offers: pa.Table) -> pa.Table:
     learned = np.flatnonzero(counts[order] > 0)
     group = np.searchsorted(first, learned, "right")
     owned = np.zeros(len(order), np.int64)
-    owned[order[learned[np.append(True, group[1:] != group[:-1])]]] = 1 if len(learned) else 0
+    owned[order[learned[np.diff(group, prepend=-1) > 0]]] = 1
     bucket = rows[0]["bucket"]
     out = [(bucket, r["gid"], _packed(all_counts[a:z]), _packed(owned[a:z]), 0, 0) for r, a, z in zip(rows, cuts[:-1], cuts[1:])]
     out.append((bucket, STATS, b"", b"", int(np.count_nonzero(total == 1)), int(np.count_nonzero(total == 2))))
