@@ -253,7 +253,7 @@ def test_scores_without_texts_to_learn_from(spark):
 def test_held_out_prose_is_likelier_than_by_single_words(spark, prose):
     rows = [(i, " ".join([f"so it begins {prose(i % 40, 30)}", "x" * 3000 if i == 5 else "and ends"]), "test" if i % 7 == 2 else "train") for i in range(300)]
     test = _scored(spark, rows).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
-    assert test[0] > 0.5 * test[1]
+    assert test[0] > 0.7 * test[1]
 
 
 def test_seating_by_jumps_has_the_distribution_of_single_steps():
