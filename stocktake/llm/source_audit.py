@@ -1,77 +1,107 @@
 """How far the sources of a language differ in their words, on digests of the words.
 
-Words are shuffled as 64-bit digests. For the digests that may be kept, the
-smallest and the largest word behind each is looked up; where they differ, the
-counts of that digest are split by the words themselves. Words are joined back
-for the rows that are returned only.
+The counts of words by source are shuffled as 64-bit digests. Each task tells
+the words behind its digests once per language; the smallest and the largest
+word of a digest show where several share it, and only these are counted again
+by the words themselves. Words are joined back for the rows that are returned.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stocktake.llm.hashing import text_bytes
 from stocktake.session import new_work_path
 
-# Letters and all characters beyond ASCII make a term; shares are in billionths.
-TERM = re.compile(rb"[a-z\x80-\xff]+")
-SCALE = 1_000_000_000
 GROUP = ["lang", "source"]
-#: Distinct terms that a task holds before it passes their counts on.
-HELD_TERMS = 400_000
+# Letters and all characters beyond ASCII make a term, A to Z count as lower case; shares are in billionths.
+PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
+SCALE = 1_000_000_000
+#: Text whose terms a task counts at a time.
+CHUNK_BYTES = 32 << 20
 #: Cells (sources times terms) of one matrix of shares.
 CELLS = 100_000
 TERM_ROWS = "lang string, source string, digest long, term string, n long, docs long"
 
 
-def _digest(term: bytes, bits: int) -> int:
-    return xxhash.xxh3_64_intdigest(term) % 2**bits - 2 ** (bits - 1)
-
-
-def _term_counts(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
-    """Occurrences and documents of each term of a group, as far as this task sees them."""
-    seen, docs = defaultdict(Counter), defaultdict(Counter)
+def _term_counts(batches: Iterator[pa.RecordBatch], bits: int, named: bool) -> Iterator[pa.RecordBatch]:
+    """Counts of each chunk of a task, as ``_counted`` gives them."""
+    held, size = [], 0
     for batch in batches:
-        for lang, source, text in zip(*(batch[c].to_pylist() for c in [*GROUP, "text"])):
-            terms = TERM.findall(text.encode().lower())
-            seen[lang, source].update(terms)
-            docs[lang, source].update(set(terms))
-        if sum(map(len, seen.values())) > HELD_TERMS:
-            yield from _term_rows(seen, docs, bits)
-            seen.clear()
-            docs.clear()
-    yield from _term_rows(seen, docs, bits)
-
-
-def _term_rows(seen: dict, docs: dict, bits: int) -> Iterator[pa.RecordBatch]:
-    for (lang, source), counts in seen.items():
-        terms = list(counts)
-        for begin in range(0, len(terms), 100_000):
-            some = terms[begin : begin + 100_000]
+        for begin in range(0, len(batch), 512):
+            part = batch.slice(begin, 512)
+            held.append(part)
+            size += pc.sum(pc.binary_length(part["text"])).as_py() or 0
+            if size >= CHUNK_BYTES:
+                yield from _counted(pa.Table.from_batches(held), bits, named)
+                held, size = [], 0
+    if held:
+        yield from _counted(pa.Table.from_batches(held), bits, named)
+
+
+def _terms_of(column: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct terms of some texts, and for each occurrence its term and its text."""
+    data, offsets = text_bytes(column)
+    plain = data.tobytes().translate(PLAIN)
+    texts = pa.Array.from_buffers(pa.large_string(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int64).tobytes()), pa.py_buffer(plain)])
+    split = pc.ascii_split_whitespace(texts)
+    filled = pc.not_equal(split.flatten(), "")  # blanks at either end leave empty pieces
+    coded = split.flatten().filter(filled).dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy().astype(np.int64), pc.list_parent_indices(split).filter(filled).to_numpy()
+
+
+def _counted(docs: pa.Table, bits: int, named: bool) -> Iterator[pa.RecordBatch]:
+    """Occurrences of each digest by language and source; then, without a source, each term of a language and its documents.
+
+    ``named`` gives the first kind only, with its terms.
+    """
+    terms, code, text = _terms_of(docs["text"])
+    if not len(terms):
+        return
+    m = len(terms)
+    digests = np.fromiter((xxhash.xxh3_64_intdigest(t) for t in terms.cast(pa.large_binary()).to_pylist()), np.uint64, m)
+    digests = (digests >> np.uint64(64 - bits)).view(np.int64)
+    keys = docs.select(GROUP).to_pandas()
+    lang, langs = keys["lang"].factorize()
+    group, groups = keys.set_index(GROUP).index.factorize()
+    once, n = np.unique(text * m + code, return_counts=True)
+    text, code = once // m, once % m
+
+    def rows(home: np.ndarray, names: list, sources: list | None, with_terms: bool) -> Iterator[pa.RecordBatch]:
+        key, of = np.unique(home[text] * m + code, return_inverse=True)
+        total, in_texts = np.bincount(of, n).astype(np.int64), np.bincount(of)
+        for begin in range(0, len(key), 200_000):
+            part = slice(begin, begin + 200_000)
+            at, term = pa.array(key[part] // m), key[part] % m
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([lang] * len(some), pa.string()),
-                    pa.array([source] * len(some), pa.string()),
-                    pa.array([_digest(t, bits) for t in some], pa.int64()),
-                    pa.array(some, pa.binary()).cast(pa.string()),
-                    pa.array([counts[t] for t in some], pa.int64()),
-                    pa.array([docs[lang, source][t] for t in some], pa.int64()),
+                    pa.array(names, pa.string()).take(at),
+                    pa.array(sources, pa.string()).take(at) if sources is not None else pa.nulls(len(at), pa.string()),
+                    pa.array(digests[term]),
+                    terms.take(pa.array(term)).cast(pa.string()) if with_terms else pa.nulls(len(at), pa.string()),
+                    pa.array(total[part]),
+                    pa.array(in_texts[part]),
                 ],
                 names=["lang", "source", "digest", "term", "n", "docs"],
             )
 
+    yield from rows(group, [g[0] for g in groups], [g[1] for g in groups], named)
+    if not named:
+        yield from rows(lang, list(langs), None, True)
+
 
-def _share(n: Column) -> Column:
+def _share(n: Column, total: Column) -> Column:
     """p = 1 + floor(SCALE * (n + 2) / (total + 2 * v)), in decimals wide enough for any count."""
     scaled = F.lit(SCALE).cast("decimal(10,0)") * (n + 2).cast("decimal(19,0)")
-    return (F.lit(1) + F.call_function("div", scaled, (F.col("total") + 2 * F.col("v")).cast("decimal(19,0)"))).cast("long")
+    return (F.lit(1) + F.call_function("div", scaled, (total + 2 * F.col("v")).cast("decimal(19,0)"))).cast("long")
 
 
 def _divergence(p: Column, q: Column) -> Column:
@@ -112,56 +142,63 @@ def audit(docs: DataFrame, least_docs: int = 10, top: int = 10, digest_bits: int
     empty table gives no row. ``digest_bits`` below 64 is for tests of the split.
     """
     spark = docs.sparkSession
-    plain = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in [*GROUP, "text"]))
-    path = new_work_path(spark, "terms")
-    plain.mapInArrow(lambda batches: _term_counts(batches, digest_bits), TERM_ROWS).write.parquet(path)
-    found = spark.read.parquet(path)
-
-    # Digests alone: those of at least so many documents, in which no kept term can be missing.
-    counted = found.groupBy(*GROUP, "digest").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    likely = counted.groupBy("lang", "digest").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least_docs).select("lang", "digest")
-    words = found.select("lang", "digest", "term").join(likely, ["lang", "digest"], "left_semi")
-    behind = words.groupBy("lang", "digest").agg(F.min("term").alias("least"), F.max("term").alias("greatest"))
-    names_path = new_work_path(spark, "term-names")
-    behind.write.parquet(names_path)
-    behind = spark.read.parquet(names_path)
-    single = behind.where("least = greatest").select("lang", "digest")
-    several = behind.where("least <> greatest").select("lang", "digest")
-    split = found.join(several, ["lang", "digest"], "left_semi").groupBy(*GROUP, "digest", F.col("term").alias("split")).agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    whole = counted.join(single, ["lang", "digest"], "left_semi").select(*GROUP, "digest", F.lit("").alias("split"), "n", "docs")
-    key = ["lang", "digest", "split"]
-    counts_path = new_work_path(spark, "term-counts")
-    whole.unionByName(split).write.parquet(counts_path)
-    counts = spark.read.parquet(counts_path)
 
-    kept = counts.groupBy(*key).agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("docs")).where(F.col("docs") >= least_docs).drop("docs")
-    sizes = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("lang_n").alias("total"))
-    used = counts.drop("docs").join(kept, key)
+    def stored(df: DataFrame, label: str) -> DataFrame:
+        path = new_work_path(spark, label)
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
+    plain = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in [*GROUP, "text"]))
+    found = stored(plain.mapInArrow(partial(_term_counts, bits=digest_bits, named=False), TERM_ROWS), "terms")
+    of_source = found.where("source is not null").select(*GROUP, "digest", "n")
+    of_lang = found.where("term is not null").select("lang", "digest", "term", "n", "docs")
+
+    # What may be kept, by its digest, and the words behind it.
+    both = ["lang", "digest"]
+    likely = stored(
+        of_lang.repartition(*both).groupBy(*both)
+        .agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("docs"), F.min("term").alias("item"), F.max("term").alias("greatest"))
+        .where(F.col("docs") >= least_docs),
+        "likely-terms",
+    )
+    kept = likely.where("item = greatest").select(*both, F.lit("").alias("split"), "lang_n", "item")
+    used = _summed(of_source.withColumn("split", F.lit("")), kept)
+    mixed = likely.where("item <> greatest").select(*both)
+    if mixed.head(1):
+        apart = of_lang.join(mixed, both, "left_semi").groupBy(*both, F.col("term").alias("split")).agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("docs"))
+        apart = apart.where(F.col("docs") >= least_docs).select(*both, "split", "lang_n", F.col("split").alias("item"))
+        by_term = plain.mapInArrow(partial(_term_counts, bits=digest_bits, named=True), TERM_ROWS).select(*GROUP, "digest", F.col("term").alias("split"), "n")
+        used = used.unionByName(_summed(by_term, apart))
+        kept = kept.unionByName(apart)
+    used = stored(used, "term-counts")
+
+    sizes = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("lang_n").alias("lang_total"))
     totals = used.groupBy(*GROUP).agg(F.sum("n").alias("total"))
-    zero = F.lit(0).cast("long")
     groups = (
-        plain.select(*GROUP).distinct().join(sizes.select("lang", "v"), "lang", "left").join(totals, GROUP, "left")
-        .select(*GROUP, F.coalesce("v", zero).alias("v"), F.coalesce("total", zero).alias("total"))
+        plain.select(*GROUP).distinct().join(sizes, "lang", "left").join(totals, GROUP, "left").na.fill(0, ["v", "lang_total", "total"])
         .withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1)
         .withColumn("sources", F.count(F.lit(1)).over(Window.partitionBy("lang")))
     )
-    groups_path = new_work_path(spark, "groups")
-    groups.write.parquet(groups_path)
-    groups = spark.read.parquet(groups_path)
+    groups = stored(groups, "groups")
+    own = used.join(groups, GROUP)
+    return _terms(own, kept, top).unionByName(_pairs(own, groups))
+
 
-    own = used.join(groups, GROUP).select(*key, "source", "place", "sources", "v", "n", "lang_n", _share(F.col("n")).alias("p"))
-    return _terms(own, sizes, behind, top).unionByName(_pairs(own, groups))
+def _summed(counts: DataFrame, kept: DataFrame) -> DataFrame:
+    """Occurrences of the kept terms by group; one shuffle by the digest serves the join and the sum."""
+    key = ["lang", "digest", "split"]
+    joined = counts.join(kept.drop("item").hint("shuffle_hash"), key)
+    return joined.groupBy("source", *key).agg(F.sum("n").alias("n"), F.first("lang_n").alias("lang_n"))
 
 
-def _terms(own: DataFrame, sizes: DataFrame, behind: DataFrame, top: int) -> DataFrame:
+def _terms(own: DataFrame, kept: DataFrame, top: int) -> DataFrame:
     """The terms that a group has more of than its language."""
-    of_lang = sizes.select("lang", "total")
-    valued = own.where("n > 0").join(of_lang, "lang").withColumn("q", _share(F.col("lang_n"))).where("p > q")
+    valued = own.withColumn("p", _share(F.col("n"), F.col("total"))).withColumn("q", _share(F.col("lang_n"), F.col("lang_total"))).where("p > q")
     ranked = valued.select(*GROUP, "digest", "split", _divergence(F.col("p"), F.col("q")).alias("value"))
     best = Window.partitionBy(*GROUP).orderBy(F.desc("value"))
     # Equal values stay until the terms are known, as they decide between them.
     near = ranked.withColumn("rank", F.rank().over(best)).where(F.col("rank") <= top).drop("rank")
-    named = near.join(behind, ["lang", "digest"]).select(*GROUP, F.when(F.col("split") == "", F.col("least")).otherwise(F.col("split")).alias("item"), "value")
+    named = near.join(kept.drop("lang_n"), ["lang", "digest", "split"]).select(*GROUP, "item", "value")
     rank = F.row_number().over(Window.partitionBy(*GROUP).orderBy(F.desc("value"), "item"))
     return named.withColumn("rank", rank).where(F.col("rank") <= top).select(*GROUP, F.lit("term").alias("part"), "item", "value", "rank")
 
@@ -169,9 +206,10 @@ def _terms(own: DataFrame, sizes: DataFrame, behind: DataFrame, top: int) -> Dat
 def _pairs(own: DataFrame, groups: DataFrame) -> DataFrame:
     """Every two sources of a language, which is what the report lists, by matrices of terms times sources."""
     blocks = F.ceil(F.col("v") * F.col("sources") / F.lit(CELLS)).cast("int")
-    shares = own.select("lang", F.pmod(F.xxhash64("digest"), blocks).cast("int").alias("block"), "digest", "split", "place", "p")
+    total = F.col("total")
+    shares = own.select("lang", F.pmod(F.xxhash64("digest"), blocks).cast("int").alias("block"), "digest", "split", "place", _share(F.col("n"), total).alias("p"))
     lacking = groups.where("v > 0").select(
-        "lang", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.lit(None).cast("long").alias("digest"), F.lit("").alias("split"), "place", _share(F.lit(0).cast("long")).alias("p")
+        "lang", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.lit(None).cast("long").alias("digest"), F.lit("").alias("split"), "place", _share(F.lit(0).cast("long"), total).alias("p")
     )
     sums = shares.unionByName(lacking).groupBy("lang", "block").applyInArrow(_pair_sums, "lang string, one int, other int, value long")
     summed = sums.groupBy("lang", "one", "other").agg(F.sum("value").alias("value"))
