@@ -17,16 +17,12 @@ def uniforms(keys: np.ndarray, sweep: int, step: int) -> np.ndarray:
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
-    """log Gamma for x > 0: Stirling's series after moving the argument up."""
-    moved = np.ones_like(x)
-    y = x.copy()
-    for _ in range(8):
-        low = y < 8
-        moved[low] *= y[low]
-        y[low] += 1
+    """log Gamma for x > 0: Stirling's series eight steps further up, and the steps back."""
+    back = x * (x + 1) * (x + 2) * (x + 3) * (x + 4) * (x + 5) * (x + 6) * (x + 7)
+    y = x + 8
     z = 1 / (y * y)
     series = (1 / 12 - z * (1 / 360 - z * (1 / 1260 - z / 1680))) / y
-    return (y - 0.5) * np.log(y) - y + 0.9189385332046727 + series - np.log(moved)
+    return (y - 0.5) * np.log(y) - y + 0.9189385332046727 + series - np.log(back)
 
 
 def seat(customers: np.ndarray, new: np.ndarray, discount: float, keys: np.ndarray, sweep: int) -> np.ndarray:
@@ -62,6 +58,12 @@ def seat(customers: np.ndarray, new: np.ndarray, discount: float, keys: np.ndarr
 
         # The first j for which customer j is the one that opens a table: all before join, j does not.
         ends = still(high)
+        # It is close to where the same powers of the mean arguments are; where not, the whole range is searched.
+        shift = (weight - 1) / 2 - taken
+        near = (seated + shift) * np.exp(np.minimum(-drawn / weight, 300)) - shift
+        below = np.clip(near - 2, low, high).astype(np.int64)
+        above = np.clip(near + 3, low, high).astype(np.int64)
+        low, high = np.where(still(below), below, low), np.where(still(above), high, above)
         while True:
             open_ = (high - low > 1) & ~ends
             if not open_.any():
