@@ -26,7 +26,7 @@ GROUP = ["lang", "source"]
 PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 SCALE = 1_000_000_000
 #: Text whose terms a task counts at a time.
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 12 << 20
 #: Cells (sources times terms) of one matrix of shares.
 CELLS = 100_000
 TERM_ROWS = "lang string, source string, digest long, term string, n long, docs long"
