@@ -133,9 +133,8 @@ def raw_origin(part: Column, flag: Column, status: Column) -> Column:
     )
 
 
-def raw_moment(moment: Column, key: Column) -> Column:
+def raw_moment(text: Column, key: Column) -> Column:
     """Cut out of the plain text, which no session time zone shifts."""
-    text = moment.cast("string")
     day, clock = F.substring(text, 1, 10), F.substring(text, 12, 8)
     turned = F.concat_ws("/", F.substring(text, 9, 2), F.substring(text, 6, 2), F.substring(text, 1, 4))
     return F.when(key % 3 == 0, F.concat_ws(" ", turned, F.substring(clock, 1, 5))).otherwise(F.concat_ws("T", day, clock))
@@ -143,21 +142,23 @@ def raw_moment(moment: Column, key: Column) -> Column:
 
 def bronze_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as field readings; a repeated order line is a resend."""
-    items, supplier = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "supplier")
-    order, line, part, moment = (F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate"))
+    supplier = table(spark, sf_dir, "supplier")
+    # The text of the moment by itself, as three columns are cut out of it.
+    items = table(spark, sf_dir, "lineitem").withColumn("moment", F.col("l_shipdate").cast("string"))
+    order, line, part, moment = (F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "moment"))
     number = F.when(part % 97 == 0, "").otherwise(spelled_number(order, order + line))
     area = F.when(part % 89 == 0, "S/N").otherwise((F.col("s_nationkey") + AREA_SHIFT).cast("string"))
     ident = F.concat_ws("-", order, line)
     return items.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(
         F.when(line == 5, F.concat(F.lit(" "), ident, F.lit(" "))).otherwise(ident).alias("id_leitura"),
-        F.year(moment).cast("string").alias("exercicio"),
+        F.year("l_shipdate").cast("string").alias("exercicio"),
         number.alias("numero_patrimonio"),
         raw_origin(part, F.col("l_returnflag"), F.col("l_linestatus")).alias("origem_leitura"),
         F.col("s_name").alias("coletor"),
         raw_moment(moment, line).alias("coletado_em"),
         area.alias("local_codigo_area"),
         F.concat(F.lit(" Sala "), F.lpad(part.cast("string"), 9, "0")).alias("local_espaco_fisico"),
-        F.concat(F.lit("lote_"), F.substring(moment.cast("string"), 1, 7), F.lit(".json")).alias("_arquivo_origem"),
+        F.concat(F.lit("lote_"), F.substring(moment, 1, 7), F.lit(".json")).alias("_arquivo_origem"),
     )
 
 

@@ -22,7 +22,7 @@ from stocktake.functions.text import (
 )
 from stocktake.functions.times import flexible_date, flexible_timestamp
 from stocktake.operators.dedup import keep_latest, last_with_count
-from stocktake.operators.joins import matched, unmatched
+from stocktake.operators.joins import matched
 from stocktake.operators.sequence import global_sequence
 from stocktake.plans import gold, quality, reports, rules, silver
 from stocktake.plans.bronze import APPEND, OVERWRITE, VersionedTable, all_text, batch_summary, compare_versions
@@ -401,7 +401,7 @@ def dedup_keep_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dedup_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.first_arrivals(silver.type_readings(binding.bronze_readings(spark, sf_dir)))
+    return silver.first_arrivals(binding.bronze_readings(spark, sf_dir))
 
 
 @query
@@ -439,7 +439,7 @@ def quarantine_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def anti_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return unmatched(readings(spark, sf_dir), rejected(spark, sf_dir), ["id_leitura"])
+    return silver.not_quarantined(readings(spark, sf_dir), register(spark, sf_dir))
 
 
 @query

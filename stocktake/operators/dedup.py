@@ -29,6 +29,18 @@ def keep_first(df: DataFrame, keys: Sequence[str], by: str, ties: Sequence[str]
     return _top_one(df, keys, [F.col(c).asc_nulls_last() for c in (by, *ties)])
 
 
+def earliest(df: DataFrame, keys: Sequence[str], by: str) -> DataFrame:
+    """All rows with the smallest ``by`` of their key, of which there may be several.
+
+    For rows that are costly to prepare: this cut needs two columns as received
+    and already happens before the shuffle, so ``keep_first`` with its other
+    ordering columns sees, and the preparation is paid for, few repeats. Its
+    window is on the same keys and moves nothing again.
+    """
+    ranked = df.withColumn("_rank", F.rank().over(Window.partitionBy(*keys).orderBy(F.col(by).asc_nulls_last())))
+    return ranked.filter(F.col("_rank") == 1).drop("_rank")
+
+
 def distinct_rows(df: DataFrame) -> DataFrame:
     """Whole-row distinct; copies are merged map-side before the shuffle."""
     return df.dropDuplicates()

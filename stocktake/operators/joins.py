@@ -5,9 +5,9 @@ match nothing, so they get a scattered value there and spread over all tasks;
 every other row gets zero and joins as usual. With that key neither side can
 reuse an earlier partitioning, so both meet in an exchange of their own, which
 is the shape adaptive execution needs to split the partition of a hot key. The
-price is one more shuffle of a side that was already grouped by the key. No
-broadcast is hinted: Catalyst and adaptive execution broadcast a side after
-looking at its size, and shuffle beyond the threshold.
+price is one more shuffle of a side that was already grouped by the key.
+Catalyst and adaptive execution broadcast a side after looking at its size, and
+shuffle beyond the threshold; a hint is only given behind a count of the rows.
 """
 
 from __future__ import annotations
@@ -24,6 +24,25 @@ def _complete(keys: Sequence[str]) -> Column:
     return reduce(and_, [F.col(k).isNotNull() for k in keys])
 
 
+#: Rows of one key column that a broadcast may hold: some megabytes in every task.
+SMALL_ROWS = 100_000
+
+
+def distinct_members(members: DataFrame, member: str, rows: int = SMALL_ROWS) -> tuple[DataFrame, bool]:
+    """The different values of a member column, and whether they were fetched and hinted for a broadcast.
+
+    They are, if at most ``rows`` are found; more than that stay a plan, and
+    joins with them shuffle. For a derived table: the planner overestimates it
+    and would shuffle the large side before adaptive execution sees how small
+    this one is, and every join would compute it again.
+    """
+    values = members.select(member).distinct()
+    found = values.limit(rows + 1).toArrow()
+    if found.num_rows > rows:
+        return values, False
+    return F.broadcast(values.sparkSession.createDataFrame(found, schema=values.schema)), True
+
+
 def spread_join(
     left: DataFrame,
     right: DataFrame,
@@ -76,15 +95,20 @@ def known_or_default(
     default: int,
     keep_null: bool = False,
     scatter_by: Sequence[str] | None = None,
+    fetched: bool = False,
 ) -> DataFrame:
     """Replace ``key`` by ``default`` where it is no member.
 
     ``keep_null`` leaves a NULL key NULL; otherwise it counts as unknown. The
     member list is made distinct, which keeps rows from multiplying and lets
-    Catalyst drop the whole join when the key is not read later.
+    Catalyst drop the whole join when the key is not read later. ``fetched``
+    members (see ``distinct_members``) are distinct and small: no shuffle.
     """
-    known = members.select(F.col(member).alias(key), F.lit(True).alias("_known")).dropDuplicates([key])
-    marked = left_lookup(df, known, [key], scatter_by)
+    known = members.select(F.col(member).alias(key), F.lit(True).alias("_known"))
+    if fetched:
+        marked = df.join(known, key, "left")
+    else:
+        marked = left_lookup(df, known.dropDuplicates([key]), [key], scatter_by)
     fixed = F.when(F.col("_known"), F.col(key))
     if keep_null:
         fixed = fixed.when(F.col(key).isNull(), F.lit(None))

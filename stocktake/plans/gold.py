@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stocktake.operators.dedup import last_with_count
-from stocktake.operators.joins import known_or_default, left_lookup, with_unknown_member
+from stocktake.operators.joins import distinct_members, known_or_default, left_lookup, with_unknown_member
 from stocktake.plans.silver import ASSET, ASSET_KEY, active
 
 # Labels and the key of the unknown area.
@@ -101,6 +101,10 @@ def asset_states(register: DataFrame, readings: DataFrame) -> DataFrame:
 def fact(register: DataFrame, readings: DataFrame, areas: DataFrame) -> DataFrame:
     """The states with both area ids led to the dimension, its unknown row included."""
     rows = ["numero_patrimonio"]
+    known, fetched = distinct_members(areas, "area_id")
     states = asset_states(register, readings)
-    known = known_or_default(states, "area_carga_id", areas, "area_id", UNKNOWN_AREA, scatter_by=rows)
-    return known_or_default(known, "area_leitura_id", areas, "area_id", UNKNOWN_AREA, keep_null=True, scatter_by=rows)
+
+    def led(df: DataFrame, key: str, keep_null: bool) -> DataFrame:
+        return known_or_default(df, key, known, "area_id", UNKNOWN_AREA, keep_null, rows, fetched)
+
+    return led(led(states, "area_carga_id", False), "area_leitura_id", True)

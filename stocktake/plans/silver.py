@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stocktake.functions.numbers import digits_key, mixed_decimal, safe_int
@@ -17,8 +17,8 @@ from stocktake.functions.text import (
     token_or,
 )
 from stocktake.functions.times import flexible_date, flexible_timestamp
-from stocktake.operators.dedup import distinct_rows, keep_first, keep_latest
-from stocktake.operators.joins import unmatched
+from stocktake.operators.dedup import distinct_rows, earliest, keep_first, keep_latest
+from stocktake.operators.joins import left_lookup, unmatched
 
 # Area types by the start of the word, and the register status counted.
 AREA_TYPES = {"jud": "Judicial", "adm": "Administrativa"}
@@ -68,8 +68,12 @@ def stg_register(bronze: DataFrame) -> DataFrame:
 
 def type_readings(bronze: DataFrame) -> DataFrame:
     """Typed readings. The operator's login is personal data and ends here."""
+    return _typed_readings(bronze, strip(F.col("id_leitura")))
+
+
+def _typed_readings(bronze: DataFrame, ident: Column) -> DataFrame:
     return bronze.select(
-        strip(F.col("id_leitura")).alias("id_leitura"),
+        ident.alias("id_leitura"),
         safe_int(F.col("exercicio"), any_blanks=False).alias("exercicio"),
         digits_key(F.col("numero_patrimonio")).alias("numero_patrimonio"),
         safe_int(F.col("local_codigo_area"), any_blanks=False).alias("codigo_area"),
@@ -80,15 +84,21 @@ def type_readings(bronze: DataFrame) -> DataFrame:
     )
 
 
-def first_arrivals(typed: DataFrame) -> DataFrame:
-    """Readings without resends: per id the earliest batch; ties go by content."""
+def first_arrivals(bronze: DataFrame) -> DataFrame:
+    """Typed readings without resends: per id the earliest batch; ties go by content.
+
+    The rows are cut to the earliest batch as received and typed behind the
+    shuffle, so repeats are never typed and one unsplit file is typed by many tasks.
+    """
+    named = bronze.withColumn("id_leitura", strip(F.col("id_leitura")))
+    received = earliest(named, ["id_leitura"], "_arquivo_origem")
     ties = ["coletado_em", "espaco_fisico", "codigo_area", "numero_patrimonio", "origem_recebida"]
-    return keep_first(typed, ["id_leitura"], "lote", ties)
+    return keep_first(_typed_readings(received, F.col("id_leitura")), ["id_leitura"], "lote", ties)
 
 
 def stg_readings(bronze: DataFrame, origins: DataFrame) -> DataFrame:
     """Readings without resends, the received origin translated by the lookup."""
-    arrived = first_arrivals(type_readings(bronze))
+    arrived = first_arrivals(bronze)
     return arrived.join(origins, "origem_recebida", "left").select(
         "id_leitura",
         *ASSET,
@@ -106,6 +116,25 @@ def active(register: DataFrame) -> DataFrame:
     return register.filter(F.col("situacao_bem") == ACTIVE)
 
 
+def tagged(readings: DataFrame, register: DataFrame) -> DataFrame:
+    """Readings with ``ativo``: whether an active asset has their year and number.
+
+    One pass from which accepted and rejected readings are split.
+    """
+    known = active(register).select(*ASSET_KEY).distinct().withColumn("_ativo", F.lit(True))
+    marked = left_lookup(readings, known, ASSET_KEY, scatter_by=["id_leitura"])
+    return marked.select(*readings.columns, F.col("_ativo").isNotNull().alias("ativo"))
+
+
+def not_quarantined(readings: DataFrame, register: DataFrame) -> DataFrame:
+    """Readings whose id is not in the quarantine; a NULL id equals no other, so its row stays.
+
+    Ids are unique here, so the mark of the row itself decides and the
+    quarantine need not be computed and joined by id.
+    """
+    return tagged(readings, register).filter(F.col("ativo") | F.col("id_leitura").isNull()).drop("ativo")
+
+
 def quarantine(readings: DataFrame, register: DataFrame) -> DataFrame:
     """Readings of no active asset, kept with the reason."""
     reason = F.when(F.col("numero_patrimonio").isNull(), NO_NUMBER).otherwise(NOT_IN_REGISTER)
