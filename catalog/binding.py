@@ -8,11 +8,12 @@ row of the tables is used; the key only decides which spelling a row gets.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from catalog import workbooks
+from catalog import drops, workbooks
 from stocktake.sources.files import rows_digest
 
 REGISTER_FILE = "carga_patrimonial.csv"
@@ -254,6 +255,48 @@ def reading_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def daily_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as one JSON document per day, under file names that patterns and URLs know other uses for."""
+    day, year = F.col("ts").cast("date"), F.year("ts")
+    local = F.struct(F.pmod("user_id", F.lit(25)).alias("codigo_area"), F.concat(F.lit(" Sala "), "event_type").alias("espaco_fisico"))
+    reading = F.struct(
+        F.col("event_id").cast("string").alias("id_leitura"),
+        year.alias("exercicio"),
+        F.lpad(F.col("user_id").cast("string"), 8, "0").alias("numero_patrimonio"),
+        local.alias("local"),
+        F.lit("celular").alias("origem_leitura"),
+        F.lit("login.x").alias("coletor"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("coletado_em"),
+    )
+    events = table(spark, sf_dir, "events").select(day.alias("day"), year.alias("year"), F.struct("event_id", F.to_json(reading).alias("json")).alias("item"))
+    listed = F.array_join(F.transform(F.array_sort(F.collect_list("item")), lambda x: x["json"]), ",")
+    text = F.col("day").cast("string")
+    name = cycle(
+        F.dayofyear("day"),
+        F.concat(F.lit("lote_["), text, F.lit("].json")),
+        F.concat(F.lit("lote "), text, F.lit(".json")),
+        F.concat(F.lit("lote+"), text, F.lit("%20.json")),
+    )
+    # A day's events are one document, which one task reads again: as such a file is.
+    return events.groupBy("day", "year").agg(listed.alias("listed")).select(
+        name.alias("name"),
+        F.concat(F.lit('{"sistema":"coleta","exercicio":'), F.col("year").cast("string"), F.lit(',"leituras":['), "listed", F.lit("]}")).alias("content"),
+    )
+
+
+def raw_drop(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """The three sources as files: a workbook, a register export and a folder of daily batches."""
+    columns = ["codigo_area", "nome_area", "tipo_area", "comarca", "regiao", "atualizado_em"]
+    areas = bronze_areas(spark, sf_dir).select(*columns).coalesce(1)
+    book = areas.groupBy().applyInPandas(
+        lambda rows: pd.DataFrame({"name": ["areas.xlsx"], "content": [workbooks.text_book(rows)]}), "name string, content binary"
+    )
+    drops.write_documents(book, folder)
+    register = bronze_register(spark, sf_dir).drop("_arquivo_origem")
+    drops.write_lines(register.select(F.concat_ws(";", *register.columns)), folder, REGISTER_FILE, ";".join(register.columns), "latin-1")
+    drops.write_documents(daily_documents(spark, sf_dir), f"{folder}/leituras")
+
+
 def customer_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as a register export with separators, quotes and line breaks inside values."""
     key = F.col("c_custkey")

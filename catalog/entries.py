@@ -8,7 +8,7 @@ from functools import cache, reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog import binding
+from catalog import binding, drops
 from stocktake.functions.numbers import digits_key, mixed_decimal, safe_int
 from stocktake.functions.text import (
     blank_to_null,
@@ -27,9 +27,10 @@ from stocktake.operators.sequence import global_sequence
 from stocktake.plans import gold, quality, reports, rules, silver
 from stocktake.plans.bronze import APPEND, OVERWRITE, VersionedTable, all_text, batch_summary, compare_versions
 from stocktake.plans.build import Bronze, build_layers, check_layers
-from stocktake.plans.ingest import ingest, unseen_append, unseen_overwrite
+from stocktake.plans.ingest import AREAS, READINGS, REGISTER, ingest, land, run_bronze, unseen_append, unseen_overwrite
 from stocktake.session import new_work_path
 from stocktake.sources.delimited import read_delimited
+from stocktake.sources.files import list_files
 from stocktake.sources.json_envelope import read_envelopes
 from stocktake.sources.seed import reading_origins
 from stocktake.sources.sheet import sheets_to_rows
@@ -229,6 +230,45 @@ def ing_run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("ignorados", F.col("recebidos") - F.col("gravados"))
 
 
+def _landed_twice(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, VersionedTable, int, int]:
+    """Daily batch files written, listed by their bytes and landed, and the same folder once more."""
+    folder, bronze = new_work_path(spark, "drop"), new_work_path(spark, "bronze")
+    drops.write_documents(binding.daily_documents(spark, sf_dir), folder)
+    listing = list_files(spark, folder, READINGS.glob)
+    first, second = (land(spark, READINGS, listing, bronze) for _ in range(2))
+    return listing, VersionedTable(spark, f"{bronze}/{READINGS.table}"), first, second
+
+
+@query
+def ing_real_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per received file: its size, the SHA-256 of its bytes, its version and rows; and what either run wrote."""
+    listing, table, first, second = _landed_twice(spark, sf_dir)
+    versions = table.history().select("arquivo_origem", "hash_arquivo", "versao", "num_linhas")
+    found = listing.select("arquivo_origem", "tamanho", "hash_arquivo").join(versions, ["arquivo_origem", "hash_arquivo"], "left")
+    return found.withColumns({"primeira_rodada": F.lit(first), "segunda_rodada": F.lit(second)})
+
+
+@query
+def ing_real_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of those files as the table shows them: nested fields flattened, all text, with their file."""
+    columns = ["id_leitura", "exercicio", "numero_patrimonio", "local_codigo_area", "local_espaco_fisico", "origem_leitura", "coletor", "coletado_em"]
+    return _landed_twice(spark, sf_dir)[1].snapshot().select("_versao", *columns, "_arquivo_origem")
+
+
+@query
+def pipeline_entry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole ingestion of a drop of all three sources, run twice: versions and rows per table, commits per run."""
+    raw, bronze = new_work_path(spark, "raw"), new_work_path(spark, "bronze")
+    binding.raw_drop(spark, sf_dir, raw)
+    first, second = (run_bronze(spark, raw, bronze) for _ in range(2))
+    tables = []
+    for source in (AREAS, REGISTER, READINGS):
+        history = VersionedTable(spark, f"{bronze}/{source.table}").history()
+        counts = history.agg(F.count(F.lit(1)).alias("versoes"), F.sum("num_linhas").alias("linhas"))
+        tables.append(counts.select(F.lit(source.table).alias("tabela"), "versoes", "linhas"))
+    return reduce(DataFrame.unionAll, tables).withColumns({"primeira_rodada": F.lit(first), "segunda_rodada": F.lit(second)})
+
+
 # -- versioned tables ----------------------------------------------------------------
 
 

@@ -21,18 +21,26 @@ def write_books(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"path": [path], "content": [workbook(batch)]})
 
 
-def workbook(batch: pd.DataFrame) -> bytes:
-    """A minimal workbook: text, numbers, a date cell and blanks."""
+def _text(value: str | None) -> str:
+    return f'<c t="inlineStr"><is><t xml:space="preserve">{escape(value)}</t></is></c>' if value else "<c/>"
 
-    def text(value: str) -> str:
-        return f'<c t="inlineStr"><is><t xml:space="preserve">{escape(value)}</t></is></c>' if value else "<c/>"
 
-    header = "".join(text(c) for c in ("codigo", "nome", "segmento", "saldo", "atualizado_em"))
-    lines = [f"<row>{header}</row>"]
+def workbook(batch: pd.DataFrame) -> bytes:
+    """A minimal workbook: text, numbers, a date cell and blanks."""
+    lines = []
     for key, name, segment, balance, nation in batch.itertuples(index=False):
         blank = "" if key % 5 == 0 else segment
-        cells = f'<c><v>{key}</v></c>{text(name)}{text(blank)}<c><v>{balance!r}</v></c><c s="1"><v>{46023 + nation}</v></c>'
-        lines.append(f"<row>{cells}</row>")
+        lines.append(f'<c><v>{key}</v></c>{_text(name)}{_text(blank)}<c><v>{balance!r}</v></c><c s="1"><v>{46023 + nation}</v></c>')
+    return _book(["codigo", "nome", "segmento", "saldo", "atualizado_em"], lines)
+
+
+def text_book(rows: pd.DataFrame) -> bytes:
+    """A workbook of text cells under the columns' names."""
+    return _book(list(rows.columns), ["".join(map(_text, row)) for row in rows.itertuples(index=False)])
+
+
+def _book(header: list[str], cells: list[str]) -> bytes:
+    lines = [f"<row>{row}</row>" for row in ["".join(map(_text, header)), *cells]]
     main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
     links = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
     package = "http://schemas.openxmlformats.org/package/2006/relationships"

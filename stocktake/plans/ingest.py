@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stocktake.operators.sequence import global_sequence
 from stocktake.plans.bronze import APPEND, OVERWRITE, VersionedTable
@@ -89,9 +90,16 @@ def _read_books(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 AREAS = Source("areas", "areas.xlsx", OVERWRITE, _read_books)
 REGISTER = Source("carga_patrimonial", "carga_patrimonial.csv", OVERWRITE, read_delimited)
-READINGS = Source(
-    "leituras_coleta", "*.json", APPEND, lambda spark, paths: read_envelopes(spark, paths, "leituras"), "leituras"
-)
+# What every reading of a batch has; fields beyond these become columns of their own.
+READING = """id_leitura string, exercicio string, numero_patrimonio string, origem_leitura string, coletor string,
+    coletado_em string, local struct<codigo_area: string, espaco_fisico: string>"""
+
+
+def _read_batches(spark: SparkSession, paths: list[str]) -> DataFrame:
+    return read_envelopes(spark, paths, "leituras", record=T.StructType.fromDDL(READING))
+
+
+READINGS = Source("leituras_coleta", "*.json", APPEND, _read_batches, "leituras")
 
 
 def land(spark: SparkSession, source: Source, listing: DataFrame, bronze: str) -> int:

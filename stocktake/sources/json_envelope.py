@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,16 +27,20 @@ def read_envelopes(
     items: str,
     one_per_line: bool = False,
     schema: T.StructType | None = None,
+    record: T.StructType | None = None,
 ) -> DataFrame:
     """One row per element of ``items``; the envelope's own fields are dropped.
 
     A broken document, or one without the list, is an error and never skipped.
     A file is one document (read by one task) or, with ``one_per_line``, one
     document per line, which scans in splits. Passing a schema saves the pass
-    that infers it.
+    that infers it. ``record`` names fields that every element is known to have;
+    they are columns even if all lists are empty, other fields found come after.
     """
     reader = spark.read.option("multiLine", not one_per_line).option("mode", "FAILFAST")
     found = schema or _inferred(spark, paths, one_per_line)
+    if record:
+        found = merged(T.StructType([T.StructField(items, T.ArrayType(record))]), found)
     # the list stays one even where it is empty everywhere, or holds no records
     fields = [T.StructField(f.name, _listed(f.dataType) if f.name == items else text_schema(f.dataType)) for f in found.fields]
     documents = reader.schema(T.StructType(fields)).json(list(paths))
@@ -48,12 +53,28 @@ def read_envelopes(
 
 
 def _inferred(spark: SparkSession, paths: Sequence[str], one_per_line: bool) -> T.StructType:
-    """The schema of all documents. Whole files go in as text, as inference would take their names for patterns."""
+    """The schema of all documents, inferred in the JVM.
+
+    Whole files go in as a Dataset of texts, as inference from paths would take
+    names for patterns; Python's reader has no parameter for one.
+    """
     reader = spark.read.option("mode", "FAILFAST")
     if one_per_line:
         return reader.json(list(paths)).schema
     texts = spark.read.text(list(paths), wholetext=True)
-    return reader.json(texts.rdd.map(lambda row: row[0])).schema
+    strings = getattr(texts._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+    return T.StructType.fromJson(json.loads(reader._jreader.json(strings).schema().json()))
+
+
+def merged(known: T.DataType, found: T.DataType) -> T.DataType:
+    """All fields of both, the known ones first; a known nesting is kept where a value of another kind was found."""
+    if isinstance(known, T.StructType) and isinstance(found, T.StructType):
+        types = {f.name: f.dataType for f in found.fields}
+        ours = [T.StructField(f.name, merged(f.dataType, types.pop(f.name)) if f.name in types else f.dataType) for f in known.fields]
+        return T.StructType([*ours, *(T.StructField(name, kind) for name, kind in types.items())])
+    if isinstance(known, T.ArrayType) and isinstance(found, T.ArrayType):
+        return T.ArrayType(merged(known.elementType, found.elementType))
+    return known if isinstance(known, (T.StructType, T.ArrayType)) else found
 
 
 def _listed(kind: T.DataType) -> T.DataType:

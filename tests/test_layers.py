@@ -241,3 +241,25 @@ def test_readings_drop_resends_and_logins(spark):
         ("r3", 10, "drone", None, None, "lote_1"),
     ]
     assert got.filter("coletado_em is null").count() == 1
+
+
+def test_late_typing_changes_nothing(spark):
+    """Repeats cut as received and then typed are the same as all rows typed and then cut."""
+    columns = ["id_leitura", "exercicio", "numero_patrimonio", "origem_leitura", "coletado_em", "local_codigo_area", "local_espaco_fisico", "_arquivo_origem"]
+    spelled = [" a", "a", "a ", "\u00a0a", "b", "", None, " ", "c"]
+    data = [
+        (spelled[i % 9], "2026", f"{i % 4:03d}", ["Scanner", None, " manual "][i % 3], ["2026-08-05T10:00:00", "05/08/2026 10:00", "x", None][i % 4], f"{i % 5}", f" Sala {i % 2}", [None, "l2", "l1"][i % 7 % 3])
+        for i in range(400)
+    ]
+    bronze = spark.createDataFrame(data, ", ".join(f"{c} string" for c in columns))
+    ties = ["coletado_em", "espaco_fisico", "codigo_area", "numero_patrimonio", "origem_recebida"]
+    early = silver.keep_first(silver.type_readings(bronze), ["id_leitura"], "lote", ties)
+    assert rows(silver.first_arrivals(bronze)) == rows(early) and early.count() == 5
+
+
+def test_one_mark_splits_the_readings(layers):
+    register, readings, _ = layers[0], layers[1], layers[2]
+    marked = silver.tagged(readings, register)
+    rejected = silver.quarantine(readings, register)
+    assert rows(marked.filter("not ativo").select("id_leitura")) == rows(rejected.select("id_leitura"))
+    assert rows(silver.not_quarantined(readings, register)) == rows(silver.unmatched(readings, rejected, ["id_leitura"]))

@@ -203,3 +203,26 @@ def test_totals_of_totals_and_decimal_type(spark):
     twice = rates.totals(once, [], {"v": "v"}, count_as="rows", counted="rows")
     assert dict(twice.dtypes) == {"rows": "bigint", "v": "decimal(38,2)"}
     assert [str(x) for x in twice.first()] == ["3", "6.60"]
+
+
+def test_earliest_keeps_ties_and_cuts_before_the_shuffle(skewed, plan):
+    found = dedup.earliest(skewed, ["k"], "o")
+    expected = []
+    for group in grouped(skewed).values():
+        least = min((r["o"] for r in group if r["o"] is not None), default=None)
+        expected += [r for r in group if r["o"] == least]
+    assert sorted(repr(tuple(r)) for r in expected) == sorted(repr(tuple(r)) for r in found.collect())
+    assert "rank(o" in plan(found) and ", 1, Partial" in plan(found)
+
+
+def test_members_are_fetched_only_behind_a_count(spark, plan):
+    df = spark.createDataFrame([(1, 10), (2, 99), (3, None)], "id int, area int")
+    dim = spark.createDataFrame([(10,), (10,), (11,)], "area_id int")
+    for rows, fetched in ((2, True), (1, False)):
+        known, small = joins.distinct_members(dim, "area_id", rows)
+        assert small is fetched
+        led = joins.known_or_default(df, "area", known, "area_id", -1, fetched=small)
+        assert sorted(tuple(r) for r in led.collect()) == [(1, 10), (2, -1), (3, -1)]
+        assert ("Exchange hashpartitioning" in plan(led)) is not fetched
+    empty, small = joins.distinct_members(dim.limit(0), "area_id")
+    assert small and {r["area"] for r in joins.known_or_default(df, "area", empty, "area_id", -1, fetched=True).collect()} == {-1}

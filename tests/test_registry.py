@@ -40,7 +40,7 @@ def test_query_matches_sql(spark, duck, name):
 
 
 # Queries whose Spark plan is over tables they have written before.
-STORED = {"dq_report", "layer_roundtrip", "ing_run_counts"}
+STORED = {"dq_report", "layer_roundtrip", "ing_run_counts", "ing_real_files", "ing_real_rows", "pipeline_entry"}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - STORED))
@@ -83,3 +83,8 @@ def test_reports_come_in_their_order(spark, name):
     found = [r.asDict() for r in QUERIES[name](spark, SF_DIR).collect()]
     keys = [tuple(round(x, 9) if isinstance(x, float) else x for x in ORDERS[name](r)) for r in found]
     assert keys == sorted(keys) and len(found) > 1
+
+
+@pytest.mark.parametrize("name, most", [("layer_fact", 6), ("anti_by_key", 5), ("dedup_keep_first", 1)])
+def test_shuffles_are_few(spark, plan, name, most):
+    assert plan(QUERIES[name](spark, SF_DIR)).count("Exchange hashpartitioning") <= most

@@ -10,6 +10,7 @@ import zipfile
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from helpers import rows
 from stocktake.sources import delimited, files, json_envelope, seed, sheet, tables
@@ -260,3 +261,24 @@ def test_hot_partition_value_is_written_by_several_tasks(spark, tmp_path):
         assert len(hot) > 1
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_known_fields_are_columns_even_of_empty_lists(spark, tmp_path):
+    record = T.StructType.fromDDL("id string, local struct<area: string, room: string>")
+    empty = write(tmp_path / "empty.json", envelope([]), "utf-8")
+    read = lambda *paths: json_envelope.read_envelopes(spark, list(paths), "leituras", record=record)
+    assert read(empty).columns == ["id", "local_area", "local_room", "_arquivo_origem", "_path"] and read(empty).count() == 0
+    more = write(tmp_path / "more.json", envelope([{"id": 1, "extra": True, "local": {"area": 7, "floor": 2}}, {"id": 2, "local": None}]), "utf-8")
+    rows = read(empty, more).select("id", "local_area", "local_room", "local_floor", "extra").orderBy("id").collect()
+    assert [tuple(r) for r in rows] == [("1", "7", None, "2", "True"), ("2", None, None, None, None)]
+    other = write(tmp_path / "other.json", envelope([{"id": 1, "local": "no struct"}]), "utf-8")
+    with pytest.raises(Exception, match="other.json|MALFORMED|FAILFAST"):
+        read(other).collect()
+
+
+def test_inference_takes_names_as_they_are_and_runs_no_python(spark, tmp_path, plan):
+    for name in ("lote_[1].json", "lote {a,b}.json", "lote*.json"):
+        write(tmp_path / name, envelope([{"id": name, "n": 1.5}]), "utf-8")
+    df = json_envelope.read_envelopes(spark, [files.literal(str(p)) for p in tmp_path.iterdir()], "leituras")
+    assert {tuple(r) for r in df.select("id", "n").collect()} == {(n, "1.5") for n in ("lote_[1].json", "lote {a,b}.json", "lote*.json")}
+    assert "Python" not in plan(df) and "ExistingRDD" not in plan(df)
