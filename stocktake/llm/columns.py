@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def bound(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once per row, however often it is used."""
     return F.transform(F.array(value), body)[0]
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or it with underscores before it, that is no column of ``df`` in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 SEPARATORS = b" \t\n\v\f\r"
 NULL_ID = np.iinfo(np.int64).max
@@ -87,8 +88,15 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def word_codes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit code per word."""
-    return span_hashes(_BYTE_CODES[data], begins, ends, 1)
+    """128 bits of xxh3 per word, as two columns; each different word is hashed once."""
+    lengths = ends - begins
+    after = np.cumsum(lengths)
+    joined = data[np.arange(after[-1] if len(after) else 0) + np.repeat(begins - (after - lengths), lengths)]
+    offsets = np.concatenate([[0], after]).astype(np.int64)
+    words = pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(joined)])
+    coded = words.dictionary_encode()
+    digests = b"".join(map(xxhash.xxh3_128_digest, coded.dictionary.to_pylist()))
+    return np.frombuffer(digests, ">u8").astype(np.uint64).reshape(-1, 2)[coded.indices.to_numpy()]
 
 
 def packed(kinds: dict[str, np.ndarray | int], cuts: np.ndarray, payload: np.ndarray) -> pa.Table:

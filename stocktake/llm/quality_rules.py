@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stocktake.llm.columns import bound
+from stocktake.llm.columns import bound, free_name
 
 BREAKS = r"[\x20\x09-\x0D]+"
 MIN_WORDS = 50
@@ -68,7 +68,8 @@ def judged(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     Null and empty texts have no words and fail; repeated rows are judged alike;
     ids are not read, so null ones do no harm; an empty table gives no rows. A
-    column of ``docs`` named ``quality`` gives way to the new one.
+    column of ``docs`` named ``quality`` gives way to the new one. Texts of any
+    length are judged whole.
     """
     raw = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
 
@@ -91,7 +92,8 @@ def judged(docs: DataFrame, text_col: str = "text") -> DataFrame:
             F.char_length(text).alias("chars"),
         )
 
-    q = F.col("_quality")
+    name = free_name(docs, "_quality")
+    q = F.col(name)
     base = (q["m"]["n_words"] < MIN_WORDS) | (100 * q["m"]["n_repeat_words"] > MAX_REPEAT_PERCENT * q["m"]["n_words"])
     lost = q["chars"] - F.char_length(q["clean_text"])
     kept = ~base & (100 * lost <= MAX_LOST_PERCENT * q["chars"])
@@ -107,5 +109,5 @@ def judged(docs: DataFrame, text_col: str = "text") -> DataFrame:
         q["clean_text"].alias("clean_text"),
     )
     # generated, not projected: so it is computed once, whatever is asked of it further on
-    measured = docs.select("*", F.explode(F.transform(F.array(raw), of_text)).alias("_quality"))
-    return measured.withColumn("quality", verdict).drop("_quality")
+    measured = docs.select("*", F.explode(F.transform(F.array(raw), of_text)).alias(name))
+    return measured.withColumn("quality", verdict).drop(name)

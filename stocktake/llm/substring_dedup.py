@@ -4,8 +4,8 @@ Any ``window`` consecutive words that two documents share hold, in the earlier
 document, one of its non-overlapping blocks of ``window // 2`` words whole. So
 the blocks are the index and every rolling run of that many words probes it.
 Probes that hit a block and are held by two documents are extended word by word
-to all windows around them; a window's least document follows from its 96-bit
-fingerprint, and neighbouring windows merge into maximal repeats.
+to all windows around them; a window's least document follows from its 128-bit
+fingerprint, over 128-bit hashes of the words, and neighbouring windows merge into maximal repeats.
 
 Extending per pair of documents would grow with the square of a group of
 copies. Here a group of documents sends each distinct window once with its least
@@ -37,7 +37,7 @@ class _Words:
         self.data, self.offsets = text_bytes(self.table["text"])
         self.begins, self.ends, self.rows = word_spans(self.data, self.offsets)
         self.window, self.block = window, max(1, window // 2)
-        self.codes = word_codes(self.data, self.begins, self.ends)
+        self.codes, self.more = word_codes(self.data, self.begins, self.ends).T.copy()
         self.first_word = np.searchsorted(self.rows, np.arange(len(self.ids) + 1))
         n = len(self.codes)
         self.probe = rolling_hashes(self.codes, self.block, 2)
@@ -64,7 +64,7 @@ class _Words:
         whole = self._inside(self.window)
         begin = np.flatnonzero(whole & (sums[np.arange(len(whole)) + reach] > sums[: len(whole)]))
         h1 = rolling_hashes(self.codes, self.window, 3)[begin]
-        h2 = (rolling_hashes(self.codes, self.window, 4)[begin] >> np.uint64(32)).astype(np.uint32)
+        h2 = rolling_hashes(self.more, self.window, 4)[begin]
         order = np.lexsort((h2, h1))
         h1, h2 = h1[order], h2[order]
         new = np.append(True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])) if len(order) else np.zeros(0, bool)
@@ -74,7 +74,7 @@ class _Words:
         return begin[order], np.cumsum(new) - 1, h1[first], h2[first], least
 
 
-_ENTRY = np.dtype([("h1", "<u8"), ("h2", "<u4"), ("least", "<i8")])
+_ENTRY = np.dtype([("h1", "<u8"), ("h2", "<u8"), ("least", "<i8")])
 
 
 def _least_elsewhere(offers: pa.Table) -> pa.Table:
@@ -97,7 +97,8 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     A word goes if a window that covers it also starts in a document with a
     smaller id, judged on the input. Null and empty texts have no words; rows
     with the same id never remove from each other; a null id is larger than any
-    other; an empty table gives no rows; columns besides id and text are not read.
+    other; an empty table gives no rows; columns besides id and text are not read; words
+    and texts of any length are taken whole.
     """
     count = G.group_count(docs, text_col, group_bytes)
     dealt = G.dealt(docs, id_col, text_col, count)

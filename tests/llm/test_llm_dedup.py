@@ -173,9 +173,8 @@ def _lines(text):
     return [] if text is None else [x.strip(" \t\x0b\x0c\r") for x in text.split("\n")]
 
 
-def _shingles(line):
-    words = re.split(r"[\x20\x09-\x0D]+", line)
-    return {(w, n[:4]) for w, n in zip(words, [*words[1:], ""])}
+def _shingles(line, k=5):
+    return {line[a : a + k] for a in range(max(1, len(line) - k + 1))}
 
 
 def test_line_dedup_is_exact_here(docs_of, prose):
