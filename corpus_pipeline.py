@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stocktake.llm.bpe_codec import encode_decode
+from stocktake.llm.columns import free_name
 from stocktake.llm.decontaminate import leaks
 from stocktake.llm.line_dedup import without_lines
 from stocktake.llm.quality_rules import judged
@@ -29,15 +30,18 @@ def _changed(docs: DataFrame, text: Column) -> DataFrame:
     return docs.select(*(f"`{c}`" for c in columns))
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """A number per row, as ids may be null or repeated; ``docs`` is a written table, so it is the same each time."""
-    return docs.withColumn("_row", F.monotonically_increasing_id())
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """A number per row, as ids may be null or repeated, and its column; ``docs`` is a written table, so it is the same each time."""
+    name = free_name(docs, "_row")
+    return docs.withColumn(name, F.monotonically_increasing_id()), name
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go, and the failing lines of the others."""
-    kept = judged(docs).where("quality.kept")
-    return _changed(kept.withColumn("text", F.col("quality.clean_text")).select(*(f"`{c}`" for c in docs.columns)), F.col("text"))
+    others = F.struct(*(f"`{c}`" for c in docs.columns if c != "text")).alias("others")
+    kept = judged(docs.select("text", others)).where("quality.kept")
+    columns = [F.col("quality.clean_text").alias("text") if c == "text" else F.col(f"others.`{c}`") for c in docs.columns]
+    return _changed(kept.select(*columns), F.col("text"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,19 +51,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id stays."""
-    numbered = _numbered(docs)
-    groups = near_duplicates(numbered, id_col="_row").select(F.col("doc_id").alias("_row"), "component_id")
-    named = groups.join(numbered.select("_row", "doc_id"), "_row")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))
-    kept = named.groupBy("component_id").agg(first.alias("first")).select("first._row")
-    return numbered.join(kept, "_row", "left_semi").drop("_row")
+    numbered, row = _numbered(docs)
+    groups = near_duplicates(numbered, id_col=row).select(F.col("doc_id").alias(row), "component_id")
+    named = groups.join(numbered.select(row, "doc_id"), row)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", row))
+    kept = named.groupBy("component_id").agg(first.alias("first")).select(f"first.{row}")
+    return numbered.join(kept, row, "left_semi").drop(row)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    numbered = _numbered(docs)
-    hit = leaks(numbered, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="_row").select(F.col("doc_id").alias("_row")).distinct()
-    return numbered.join(hit, "_row", "left_anti").drop("_row")
+    numbered, row = _numbered(docs)
+    hit = leaks(numbered, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col=row).select(F.col("doc_id").alias(row)).distinct()
+    return numbered.join(hit, row, "left_anti").drop(row)
 
 
 def bpe_codec(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -79,7 +83,14 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each stage's rows are written and read again."""
+    """All stages over ``documents``; each stage's rows are written and read again.
+
+    A null or empty text has no words and goes with the first stage. Ids may be
+    null or repeated: each row is a document of its own, and of equal ones the
+    smallest id, then the first row stays. Other columns, whatever their names,
+    come through all stages but the last. An empty table gives no rows. Texts of
+    any length are taken whole.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = new_work_path(spark, f"stage-{name}")
