@@ -19,6 +19,8 @@ from stocktake.sources.sheet import sheets_to_rows
 # A slice of this many files is committed at once: its listing is small enough
 # to broadcast and to name in one read, however many files arrive in total.
 FILES_PER_COMMIT = 10_000
+# Replaced files each have columns of their own, so each is a branch of the plan that writes them.
+OVERWRITES_PER_COMMIT = 50
 
 
 def unseen_append(listing: DataFrame, history: DataFrame) -> DataFrame:
@@ -60,15 +62,19 @@ def ingest(
 
     ``read_rows`` turns a slice of the listing into rows with
     ``_arquivo_origem`` and ``_path``. An overwrite replaces the columns too,
-    so those files are committed one by one.
+    so each such file is read with its own, but one job writes a slice of them.
     """
-    step = 1 if mode == OVERWRITE else files_per_commit
+    step = min(files_per_commit, OVERWRITES_PER_COMMIT) if mode == OVERWRITE else files_per_commit
     fresh = global_sequence(unseen(listing, table.history(), mode), ["arquivo_origem"], "_ordem").checkpoint()
     total = fresh.count()
     for begin in range(0, total, step):
         part = fresh.filter(F.col("_ordem").between(begin, begin + step - 1))
         part = part.withColumn("_ordem", F.col("_ordem") - begin)
-        table.commit(read_rows(part), part, mode)
+        if mode == OVERWRITE:
+            files = [part.filter(F.col("_ordem") == i) for i in range(min(step, total - begin))]
+            table.commit_parts([(read_rows(one), one) for one in files], mode)
+        else:
+            table.commit(read_rows(part), part, mode)
     return total
 
 

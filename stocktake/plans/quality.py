@@ -107,17 +107,31 @@ def violations(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
     raise ValueError(f"unknown check {check.kind}")
 
 
-ROW_KINDS = ("not_null", "accepted_values", "exclusive_flags")
+#: Kinds by what is counted of their evidence: rows, different values, values that repeat, rows of values without a parent.
+ROWS, VALUES, REPEATS, ORPHANS = ("not_null", "exclusive_flags"), ("accepted_values",), ("unique", "unique_key"), ("relationships",)
+EVIDENCE = "verificado: int, valor: string, linhas: bigint, registrado: boolean"
 
 
-def _row_violations(check: Check) -> Column:
-    """Aggregate: NULLs, different values outside the list, or rows whose flags do not sum to one."""
+def _evidence(number: int, check: Check) -> Column:
+    """What a row of the check's table has to say on it, or NULL."""
     column = F.col(check.columns[0])
+    value = F.lit(None).cast("string")
     if check.kind == "not_null":
-        return F.count_if(column.isNull())
-    if check.kind == "accepted_values":
-        return F.count_distinct(F.when(~column.isin(*check.values), column))
-    return F.count_if(reduce(Column.__add__, [F.col(f) for f in check.columns]) != 1)
+        says = column.isNull()
+    elif check.kind == "exclusive_flags":
+        says = reduce(Column.__add__, [F.col(c) for c in check.columns]) != 1
+    elif check.kind == "accepted_values":
+        says, value = ~column.isin(*check.values), column.cast("string")
+    elif check.kind == "unique_key":
+        # as JSON, which tells the parts apart and leaves NULL ones out
+        says, value = F.lit(True), F.to_json(F.struct(*check.columns))
+    else:
+        says, value = column.isNotNull(), column.cast("string")
+    return F.when(says, _entry(number, value, 1, False))
+
+
+def _entry(number: int, value: Column, lines: int, known: bool) -> Column:
+    return F.struct(F.lit(number), value, F.lit(lines).cast("bigint"), F.lit(known)).cast(f"struct<{EVIDENCE}>")
 
 
 def _line(check: Check, violations: Column) -> Column:
@@ -130,18 +144,46 @@ def _line(check: Check, violations: Column) -> Column:
     )
 
 
+def _counted_together(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> DataFrame:
+    """All checks of single rows, keys and parents: one scan per table and one grouping for all of them.
+
+    Every row gives its evidence for each check, as grouping sets expand rows;
+    parents give theirs for the checks of their children. Evidence is added up
+    by check and value, map-side first, so a value that repeats a million times
+    is sent once per task.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    asked: dict[str, list[Column]] = {}
+    for number, check in enumerate(checks):
+        asked.setdefault(check.table, []).append(_evidence(number, check))
+        if check.kind in ORPHANS:
+            parent = F.col(check.parent_column)
+            asked.setdefault(check.parent, []).append(F.when(parent.isNotNull(), _entry(number, parent.cast("string"), 0, True)))
+    # a check without any evidence is in the report too
+    every = spark.range(len(checks)).select(F.col("id").cast("int").alias("verificado"), F.lit(None).cast("string").alias("valor"), F.lit(0).cast("bigint").alias("linhas"), F.lit(False).alias("registrado"))
+    found = [tables[name].select(F.inline(F.array_compact(F.array(*evidence)))) for name, evidence in asked.items()]
+    values = reduce(DataFrame.unionByName, found, every).groupBy("verificado", "valor").agg(F.sum("linhas").alias("linhas"), F.max("registrado").alias("registrado"))
+
+    def of(kinds: tuple[str, ...]) -> Column:
+        return F.col("verificado").isin([i for i, check in enumerate(checks) if check.kind in kinds])
+
+    lines = F.col("linhas")
+    counted = F.when(of(ROWS), lines).when(of(VALUES), (lines > 0).cast("bigint")).when(of(REPEATS), (lines > 1).cast("bigint")).when(~F.col("registrado"), lines)
+    totals = values.groupBy("verificado").agg(F.coalesce(F.sum(counted), F.lit(0)).alias("violacoes"))
+    labels = F.array(*(_line(check, F.col("violacoes")) for check in checks))
+    return totals.select(F.inline(F.array(F.element_at(labels, F.col("verificado") + 1))))
+
+
 def run_checks(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per check: what, where, how severe, how many violations, status.
 
-    All checks of a table that look at one row at a time share one scan.
+    Only the conservation check, which asks three tables at once, is a plan of
+    its own; all others share one scan per table.
     """
-    frames = []
-    for table in dict.fromkeys(c.table for c in checks if c.kind in ROW_KINDS):
-        group = [c for c in checks if c.kind in ROW_KINDS and c.table == table]
-        counts = tables[table].agg(*(_row_violations(c).cast("bigint").alias(f"v{i}") for i, c in enumerate(group)))
-        frames.append(counts.select(F.inline(F.array(*(_line(c, F.col(f"v{i}")) for i, c in enumerate(group))))))
+    together = [c for c in checks if c.kind in (*ROWS, *VALUES, *REPEATS, *ORPHANS)]
+    frames = [_counted_together(together, tables)] if together else []
     for check in checks:
-        if check.kind not in ROW_KINDS:
+        if check not in together:
             frames.append(violations(check, tables).select(F.inline(F.array(_line(check, F.col("violacoes"))))))
     failed = F.when(F.col("severidade") == WARN, "WARN").otherwise("FAIL")
     status = F.when(F.col("violacoes") == 0, "PASS").otherwise(failed)

@@ -370,3 +370,38 @@ def test_command_line(spark, raw, bronze, tmp_path, capsys):
     assert main(["ingest", str(raw), bronze]) == 0
     assert main(["build", bronze, layers]) == 1
     assert "not_null" in capsys.readouterr().err
+
+
+def test_many_overwrites_are_one_write_and_all_readable(spark, tmp_path, bronze):
+    """Registers whose columns change from file to file, taken in together."""
+    contents = ["a;b\n1;x\n", "a;c\n2;y\n3;z\n", "b\nw\n", "a;b\n1;x\n"]
+    for i, text in enumerate(contents):
+        (tmp_path / f"r_{i}.csv").write_bytes(text.encode("latin-1"))
+    table = VersionedTable(spark, f"{bronze}/registers")
+    listing = list_files(spark, str(tmp_path), "r_*.csv")
+    read = lambda files: REGISTER.read(spark, [r["path"] for r in files.collect()])
+    assert ingest(table, listing, read, OVERWRITE) == 4
+    history = table.history().orderBy("versao").collect()
+    assert [(r["versao"], r["num_linhas"]) for r in history] == [(0, 1), (1, 2), (2, 1), (3, 1)]
+    assert len({r["execucao"] for r in history}) == 1
+    shown = [[c for c in table.snapshot(v).columns if not c.startswith("_")] for v in range(4)]
+    assert shown == [["a", "b"], ["a", "c"], ["b"], ["a", "b"]]
+    assert rows(table.snapshot(1), "a", "c") == [("2", "y"), ("3", "z")] and rows(table.snapshot(2), "b") == [("w",)]
+    assert ingest(table, listing.filter("arquivo_origem = 'r_3.csv'"), read, OVERWRITE) == 0
+    assert ingest(table, listing.filter("arquivo_origem = 'r_1.csv'"), read, OVERWRITE) == 1
+    assert rows(table.snapshot(), "a", "c") == [("2", "y"), ("3", "z")]
+
+
+def test_versions_are_compared_in_one_scan(spark, raw, bronze, plan):
+    ingest_readings(spark, raw, bronze)
+    write_batch(raw, "lote_3.json", [reading("r9", "1", 1, "2026-08-07T09:00:00", year=2025)])
+    ingest_readings(spark, raw, bronze)
+    table = VersionedTable(spark, f"{bronze}/leituras_coleta")
+    compared = compare_versions(table, lambda df: batch_summary(df, ["exercicio"]), version=0)
+    text = plan(compared)
+    scans = [x.split("\n")[0] for x in text.split("FileScan parquet")[1:]]
+    data = [x for x in scans if x.startswith(" [_versao#")]
+    assert len(data) == 1 and "dynamicpruning" in data[0].lower(), scans
+    assert rows(compared, "versao", "exercicio", "leituras", "lotes") == [(0, "2026", 3, 1), (2, "2025", 1, 1), (2, "2026", 7, 2)]
+    by_hand = compare_versions(table, lambda df: df.groupBy("exercicio").agg(F.count("*").alias("leituras")), version=0)
+    assert rows(by_hand, "versao", "exercicio", "leituras") == [(0, "2026", 3), (2, "2025", 1), (2, "2026", 7)]

@@ -263,3 +263,29 @@ def test_one_mark_splits_the_readings(layers):
     rejected = silver.quarantine(readings, register)
     assert rows(marked.filter("not ativo").select("id_leitura")) == rows(rejected.select("id_leitura"))
     assert rows(silver.not_quarantined(readings, register)) == rows(silver.unmatched(readings, rejected, ["id_leitura"]))
+
+
+def test_checks_of_a_table_share_one_scan(spark, layers, plan, tmp_path):
+    register, readings, dimension = layers
+    tables = {}
+    for name, df in {"register": register, "readings": readings, "areas": dimension}.items():
+        df.write.parquet(str(tmp_path / name))
+        tables[name] = spark.read.parquet(str(tmp_path / name))
+    checks = [
+        Check("not_null", "register", ("numero_patrimonio",)),
+        Check("unique", "register", ("numero_patrimonio",)),
+        Check("unique_key", "register", ("exercicio", "numero_patrimonio")),
+        Check("accepted_values", "register", ("situacao_bem",), values=("ATIVO",)),
+        Check("relationships", "register", ("codigo_area_carga",), parent="areas", parent_column="area_id", severity="warn"),
+        Check("unique", "readings", ("id_leitura",)),
+        Check("unique", "areas", ("area_id",)),
+    ]
+    report = quality.run_checks(checks, tables)
+    text = plan(report)
+    assert text.count("FileScan parquet") == 3 and "Join" not in text
+    alone = [(c.kind, c.table, quality.violations(c, tables).first()[0]) for c in checks]
+    together = [(r["verificacao"], r["tabela"], r["violacoes"]) for r in report.collect()]
+    # accepted values count rows per value by themselves; here every value once
+    assert sorted(together) == sorted(alone)
+    empty = {name: df.limit(0) for name, df in tables.items()}
+    assert {r["violacoes"] for r in quality.run_checks(checks, empty).collect()} == {0}
