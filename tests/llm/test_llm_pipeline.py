@@ -101,7 +101,7 @@ def test_what_is_left_is_encoded(stages):
 
 def test_queries_are_registered_and_run(spark):
     names = set(entry_points.queries())
-    assert {re.match(r"op(\d+)_", n)[1] for n in queries.QUERIES} == {str(n) for n in range(1, 11)}
+    assert {re.match(r"op(\d+)_", n)[1] for n in queries.QUERIES} == {str(n) for n in range(1, 14)}
     assert {*queries.QUERIES, "pipeline"} <= names
     for name in ("op3_decontamination", "op5_quality_rules", "op7_pii_pseudonyms"):
         assert "doc_id" in entry_points.queries()[name](spark, entry_points.SMOKE_DIR).columns

@@ -9,12 +9,14 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
+from __spark_entry__ import SMOKE_DIR
 from pyspark.sql import functions as F
 
-from stocktake.llm import seating
+from stocktake.llm import queries, seating
 from stocktake.llm.hashing import mix
 from stocktake.llm.language_model import score_texts
 from stocktake.llm.prefix_trie import prefix_trie, rebuilt, turns, whole
@@ -268,3 +270,18 @@ def test_seating_by_jumps_has_the_distribution_of_single_steps():
         assert abs(jumps.std() - tables.std()) < 0.05 * tables.std() + 1e-9
     x = np.array([0.2, 1.0, 3.7, 9.0, 1234.5])
     assert np.allclose(seating.log_gamma(x), [math.lgamma(v) for v in x], atol=1e-9)
+
+
+# -- registered queries ------------------------------------------------------------
+
+
+@pytest.mark.parametrize("name", ["op11_prefix_trie", "op12_source_audit"])
+def test_query_matches_its_sql(spark, name):
+    con = duckdb.connect()
+    for table in ("documents", "conversations"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMOKE_DIR}/{table}.parquet'")
+    df = queries.QUERIES[name](spark, SMOKE_DIR)
+    columns = sorted(df.columns)
+    quoted = ", ".join(f'"{c}"' for c in columns)
+    theirs = sorted(repr(r) for r in con.sql(f"SELECT {quoted} FROM ({queries.ORACLE[name]})").fetchall())
+    assert sorted(repr(tuple(r)) for r in df.select(*columns).collect()) == theirs and theirs
