@@ -16,7 +16,7 @@ def _saved(df: DataFrame) -> tuple[DataFrame, tuple]:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``node, root`` for every node of ``edges`` (two columns of longs); the root is the least node reachable.
+    """``node, root`` for every node of ``edges`` (two columns of longs, or of another type with an order); the root is the least node reachable.
 
     Each round links the larger neighbours of a node to its least one, then the
     smaller ones, until nothing changes; every link is kept, no group is
