@@ -107,7 +107,8 @@ def _chunk(parts: list[pa.RecordBatch], number: int) -> pa.RecordBatch:
     table = pa.Table.from_batches(parts)
     lengths, pieces = [], []
     for text in table["text"].chunks:
-        split = pc.ascii_split_whitespace(pc.ascii_lower(text.cast(pa.large_string())))
+        # lowered as they came: of a slice that was cast, Arrow lowers the bytes before the slice
+        split = pc.ascii_split_whitespace(pc.ascii_lower(text).cast(pa.large_string()))
         words, of = split.flatten(), pc.list_parent_indices(split)
         filled = pc.not_equal(words, "")  # blanks at either end leave empty pieces
         lengths.append(np.bincount(of.filter(filled).to_numpy(), minlength=len(text)))

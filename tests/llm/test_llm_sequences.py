@@ -244,6 +244,16 @@ def test_scores_are_those_of_the_model(spark):
         assert sorted(got) == sorted(expected)
 
 
+def test_all_words_of_a_long_batch_are_counted(spark, prose):
+    rows = [(i, f"{prose(i, i % 9)} Only{i}", "test" if i % 7 == 2 else "train") for i in range(1300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, kind string").coalesce(1)  # chunks take a batch in slices
+    said = {i: [*_words(text), " end"] for i, text, _ in rows}
+    counts = Counter(w for i, _, kind in rows if kind == "train" for w in said[i])
+    expected = [(i, kind == "test", len(said[i]), sum(w in counts for w in said[i]), counts.total(), round(sum(math.log10((counts[w] + 1) / (counts.total() + len(counts) + 1)) for w in said[i]), 6)) for i, _, kind in rows]
+    got = score_texts(df, F.col("kind") == "test", sweeps=1, unused=0).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 6))
+    assert sorted(map(tuple, got.collect())) == expected
+
+
 def test_scores_without_texts_to_learn_from(spark):
     got = _scored(spark, [(1, "all held out", "test"), (2, None, "test")]).collect()
     assert sorted((x.doc_id, x.n_tokens, x.n_known, x.train_tokens, x.base_score, x.score) for x in got) == [(1, 4, 0, 0, 0.0, 0.0), (2, 1, 0, 0, 0.0, 0.0)]
