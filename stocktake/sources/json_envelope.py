@@ -21,6 +21,27 @@ def text_schema(schema: T.DataType) -> T.DataType:
     return schema if isinstance(schema, T.BooleanType) else T.StringType()
 
 
+def number_schema(schema: T.StructType, found: T.DataType) -> T.StructType:
+    """The text schema with whole numbers where all values found are such.
+
+    From a whole file, Spark takes the text of a number by a read of its own at
+    the number's place, which costs a buffer each time; a long is parsed in
+    passing and has the same text (but for ``-0``, which becomes 0). Lists keep
+    their elements, as they are shown as JSON.
+    """
+
+    def numbers(field: T.StructField) -> T.StructField:
+        if not isinstance(found, T.StructType) or field.name not in found.names:
+            return field
+        kind = found[field.name].dataType
+        if isinstance(field.dataType, T.StructType):
+            return T.StructField(field.name, number_schema(field.dataType, kind))
+        whole = isinstance(field.dataType, T.StringType) and isinstance(kind, T.LongType)
+        return T.StructField(field.name, kind) if whole else field
+
+    return T.StructType([numbers(f) for f in schema.fields])
+
+
 def read_envelopes(
     spark: SparkSession,
     paths: Sequence[str],
@@ -38,11 +59,14 @@ def read_envelopes(
     they are columns even if all lists are empty, other fields found come after.
     """
     reader = spark.read.option("multiLine", not one_per_line).option("mode", "FAILFAST")
-    found = schema or _inferred(spark, paths, one_per_line)
+    inferred = schema or _inferred(spark, paths, one_per_line)
+    found = inferred
     if record:
         found = merged(T.StructType([T.StructField(items, T.ArrayType(record))]), found)
     # the list stays one even where it is empty everywhere, or holds no records
     fields = [T.StructField(f.name, _listed(f.dataType) if f.name == items else text_schema(f.dataType)) for f in found.fields]
+    if not schema and not one_per_line:
+        fields = [_numbered(f, inferred) if f.name == items else f for f in fields]
     documents = reader.schema(T.StructType(fields)).json(list(paths))
     missing = F.raise_error(F.concat(F.lit(f"no list of {items} in "), F.col("_metadata.file_path")))
     listed = F.when(F.col(items).isNull(), missing).otherwise(F.col(items))
@@ -77,6 +101,14 @@ def merged(known: T.DataType, found: T.DataType) -> T.DataType:
     return known if isinstance(known, (T.StructType, T.ArrayType)) else found
 
 
+def _numbered(items: T.StructField, inferred: T.StructType) -> T.StructField:
+    """The list with the whole numbers that its records were found to have."""
+    kind = inferred[items.name].dataType if items.name in inferred.names else None
+    if not isinstance(kind, T.ArrayType) or not isinstance(items.dataType.elementType, T.StructType):
+        return items
+    return T.StructField(items.name, T.ArrayType(number_schema(items.dataType.elementType, kind.elementType)))
+
+
 def _listed(kind: T.DataType) -> T.DataType:
     shape = text_schema(kind)
     return shape if isinstance(shape, T.ArrayType) else T.ArrayType(T.StringType())

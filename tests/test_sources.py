@@ -276,6 +276,18 @@ def test_known_fields_are_columns_even_of_empty_lists(spark, tmp_path):
         read(other).collect()
 
 
+def test_whole_numbers_are_read_as_such_and_shown_as_text(spark, tmp_path, plan):
+    record = T.StructType.fromDDL("n string, local struct<area: string>")
+    exact = write(tmp_path / "exact.json", envelope([{"n": 7, "local": {"area": -12}}, {"n": 2**62, "local": None}]), "utf-8")
+    df = json_envelope.read_envelopes(spark, [exact], "leituras", record=record).select("n", "local_area")
+    assert "n:bigint" in plan(df) and "area:bigint" in plan(df)
+    assert {t for _, t in df.dtypes} == {"string"}
+    assert [tuple(r) for r in df.collect()] == [("7", "-12"), (str(2**62), None)]
+    mixed = write(tmp_path / "mixed.json", '{"leituras": [{"n": 1.50, "local": {"area": 3, "x": [{"y": 1}]}}, {"n": 4, "local": {"area": "03"}}, {"n": 99999999999999999999}]}', "utf-8")
+    got = json_envelope.read_envelopes(spark, [exact, mixed], "leituras", record=record).select("n", "local_area", "local_x")
+    assert sorted(map(tuple, got.collect()), key=str) == [("1.50", "3", '[{"y":"1"}]'), ("4", "03", None), (str(2**62), None, None), ("7", "-12", None), ("9" * 20, None, None)]
+
+
 def test_inference_takes_names_as_they_are_and_runs_no_python(spark, tmp_path, plan):
     for name in ("lote_[1].json", "lote {a,b}.json", "lote*.json"):
         write(tmp_path / name, envelope([{"id": name, "n": 1.5}]), "utf-8")
