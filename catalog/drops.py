@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyarrow.fs import FileSystem
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # Executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -31,7 +32,17 @@ def write_documents(documents: DataFrame, folder: str) -> None:
 
 
 def write_lines(lines: DataFrame, folder: str, name: str, header: str, charset: str) -> None:
-    """One file of all rows of one text column, streamed by one task, as such a file is one by nature."""
+    """One file of all rows of one text column.
+
+    Such a file is one by nature and written by one task; all tasks make the
+    lines and send them to it encoded and compressed, some thousands at a time.
+    """
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = "".join(f"{line}\n" for line in batch.column(0).to_pylist()).encode(charset)
+            block = pa.compress(text, codec="zstd", asbytes=True)
+            yield pa.RecordBatch.from_arrays([pa.array([len(text)], pa.int64()), pa.array([block], pa.binary())], names=["size", "block"])
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, place = FileSystem.from_uri(folder)
@@ -39,7 +50,12 @@ def write_lines(lines: DataFrame, folder: str, name: str, header: str, charset:
         with system.open_output_stream(f"{place}/{name}") as stream:
             stream.write(f"{header}\n".encode(charset))
             for batch in batches:
-                stream.write("".join(f"{line}\n" for line in batch.column(0).to_pylist()).encode(charset))
+                for size, block in zip(batch["size"].to_pylist(), batch["block"].to_pylist()):
+                    if size:
+                        stream.write(pa.decompress(block, decompressed_size=size, codec="zstd", asbytes=True))
         yield pa.RecordBatch.from_arrays([pa.array([name])], names=["name"])
 
-    lines.coalesce(1).mapInArrow(put, "name string").write.format("noop").mode("overwrite").save()
+    # without lines there is still this block, so that a file with a header is written
+    nothing = lines.sparkSession.range(1).select(F.lit(0).cast("long").alias("size"), F.lit(b"").alias("block"))
+    blocks = lines.mapInArrow(pack, "size long, block binary").unionByName(nothing)
+    blocks.repartition(1).mapInArrow(put, "name string").write.format("noop").mode("overwrite").save()

@@ -161,7 +161,8 @@ class VersionedTable:
             received = [c for c in rows.columns if c not in ("_arquivo_origem", "_path")]
             columns = [*received, "_arquivo_origem", "_ingerido_em"]
             stamped = all_text(rows).withColumn("_ingerido_em", F.expr(UTC_NOW))
-            versions = numbered.select(F.col("path").alias("_path"), "versao")
+            # as few as a run's files; rows joined by shuffling would meet in one task per file
+            versions = F.broadcast(numbered.select(F.col("path").alias("_path"), "versao"))
             written.append(stamped.join(versions, "_path", "left").select(version, *(f"`{c}`" for c in columns)))
             entries.append(numbered.select("versao", "arquivo_origem", "hash_arquivo", F.array(*(F.lit(c) for c in columns)).alias("colunas")))
         reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), written).write.parquet(target)

@@ -8,6 +8,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from catalog import drops
 from helpers import rows
 from stocktake.__main__ import main
 from stocktake.plans.bronze import APPEND, OVERWRITE, VersionedTable, all_text, batch_summary, compare_versions
@@ -405,3 +406,26 @@ def test_versions_are_compared_in_one_scan(spark, raw, bronze, plan):
     assert rows(compared, "versao", "exercicio", "leituras", "lotes") == [(0, "2026", 3, 1), (2, "2025", 1, 1), (2, "2026", 7, 2)]
     by_hand = compare_versions(table, lambda df: df.groupBy("exercicio").agg(F.count("*").alias("leituras")), version=0)
     assert rows(by_hand, "versao", "exercicio", "leituras") == [(0, "2026", 3), (2, "2025", 1), (2, "2026", 7)]
+
+
+def test_rows_of_one_file_are_written_by_the_tasks_that_read_them(spark, bronze):
+    files = spark.createDataFrame([("a.csv", "file:/a.csv", "h", 0)], "arquivo_origem string, path string, hash_arquivo string, _ordem int").checkpoint()
+    rows = spark.range(0, 4000, 1, 4).select(F.col("id").alias("n"), F.lit("a.csv").alias("_arquivo_origem"), F.lit("file:/a.csv").alias("_path"))
+    table = VersionedTable(spark, bronze)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        table.commit(rows, files, OVERWRITE)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    written = [n for _, _, names in os.walk(f"{bronze}/data") for n in names if n.startswith("part-")]
+    assert len(written) == 4 and table.snapshot().count() == 4000
+
+
+def test_lines_of_many_tasks_are_one_file(spark, tmp_path):
+    lines = spark.range(0, 3000, 1, 3).select(F.concat(F.lit("é;"), F.col("id").cast("string")))
+    drops.write_lines(lines, f"file://{tmp_path}/drop", "many.csv", "a;b", "latin-1")
+    header, *rest = (tmp_path / "drop" / "many.csv").read_text(encoding="latin-1").splitlines()
+    assert header == "a;b" and sorted(rest) == sorted(f"é;{i}" for i in range(3000))
+    drops.write_lines(lines.where("id < 0"), f"file://{tmp_path}/drop", "none.csv", "a;b", "latin-1")
+    assert (tmp_path / "drop" / "none.csv").read_text() == "a;b\n"
