@@ -8,6 +8,8 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import SMOKE_DIR
+from catalog.entries import QUERIES
 from helpers import rows
 from stocktake.plans import gold, quality, reports, silver
 from stocktake.plans.quality import Check
@@ -289,3 +291,8 @@ def test_checks_of_a_table_share_one_scan(spark, layers, plan, tmp_path):
     assert sorted(together) == sorted(alone)
     empty = {name: df.limit(0) for name, df in tables.items()}
     assert {r["violacoes"] for r in quality.run_checks(checks, empty).collect()} == {0}
+
+
+def test_conservation_makes_readings_and_register_once(spark, plan):
+    text = plan(QUERIES["dq_no_row_lost"](spark, SMOKE_DIR))
+    assert "lineitem.parquet" not in text and "orders.parquet" not in text and "conservation" in text
