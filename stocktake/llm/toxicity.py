@@ -35,6 +35,8 @@ FOLDS = 5
 EULER = 0.5772156649015329
 RESULT = "doc_id long, score double, n_tokens long, n_passages long, best_start long, best_length long"
 _TOKEN = re.compile(r"[^\W\d_]+")
+#: Blanks for all bytes that are ASCII and no small letter.
+_LETTERS = bytes(i if i >= 128 or 97 <= i <= 122 else 32 for i in range(256))
 _FLUSH = 300_000
 _MEMO = 200_000
 #: Lengths of the beginnings of words that are features.
@@ -42,7 +44,12 @@ BEGINNINGS = range(3, 9)
 
 
 def tokens(text: str | None) -> list[str]:
-    return _TOKEN.findall((text or "").lower())
+    """Runs of letters. ASCII but for letters always parts them, so only what is left with other letters needs the pattern."""
+    low = (text or "").lower()
+    pieces = low.encode("utf-8", "surrogatepass").translate(_LETTERS).decode("utf-8", "surrogatepass").split()
+    if low.isascii() or "".join(pieces).isalpha():
+        return pieces
+    return [token for p in pieces for token in ((p,) if p.isalpha() else _TOKEN.findall(p))]
 
 
 def features(token: str) -> list[str]:

@@ -122,6 +122,20 @@ def test_maximal_segments():
         assert [(round(s, 6), a, b) for s, a, b in toxicity.segments(hits, 0.37)] == _segments_by_definition(scores)
 
 
+def test_tokens_are_all_runs_of_letters():
+    r = random.Random(5)
+    alphabet = [*map(chr, range(0x250)), *" aZé_5²½٣\u2014\u3000\u0130\u1e9e語\U00010400\U0001f600\u0301"]
+    texts = ["".join(r.choices(alphabet, k=r.randrange(40))) for _ in range(4000)] + ["Plain, OLD_text 2x", "só letras é", "a\x1cb\x85c\xa0d", "", None]
+    assert [toxicity.tokens(t) for t in texts] == [re.findall(r"[^\W\d_]+", (t or "").lower()) for t in texts]
+    assert toxicity.tokens("a" * 200_000 + "é2" * 200_000)[1:] == ["é"] * 199_999
+
+
+def test_tokens_of_plain_letters_need_no_pattern(monkeypatch):
+    monkeypatch.setattr(toxicity, "_TOKEN", None)
+    assert toxicity.tokens("Plain, OLD_text 2x") == ["plain", "old", "text", "x"]
+    assert toxicity.tokens("Só letras; é") == ["só", "letras", "é"]
+
+
 def test_toxicity_on_rows_held_out(spark, docs_of, prose):
     r = random.Random(2)
     bad, rows, labels = ["scum", "vermin", "filth", "trash"], [], []
