@@ -10,10 +10,11 @@ sweeps after the first ones are averaged.
 
 Documents are encoded once, as chunks of some megabytes with a dictionary of
 their own. A chunk keeps its word pairs; it tells buckets their fingerprints
-and counts, packed, and hears the counts over all documents. The numbers that
-seating draws depend on the fingerprint and the sweep only, so every chunk
-finds the same tables for a pair, and the one chunk that owns the pair reports
-them to the words concerned.
+and counts, packed, and hears the counts over all documents. The one chunk that
+owns a pair seats it, with numbers drawn by the fingerprint and the sweep only,
+and reports the tables to the words concerned. Popular pairs take long to seat
+and are in every chunk, so the tables that scores need come from the owners
+too, through the buckets.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ from stocktake.session import new_work_path, shared_folder
 
 #: The end of a text, a token, and its beginning, a context only; no word holds a blank.
 END, BEGIN = b" end", b" begin"
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 20 << 20
 #: Pairs of chunks that one bucket compares at a time.
 BUCKET_PAIRS = 2_000_000
 SWEEPS, UNUSED = 3, 1
@@ -46,11 +47,13 @@ CHUNKS = "gid long, ids array<long>, held array<boolean>, lengths binary, codes
 WORD_OFFERS = "bucket int, gid long, words binary, counts binary"
 WORD_STATE = "bucket int, gid long, ranks binary, counts binary, total long, kinds long"
 PAIR_OFFERS = "bucket int, gid long, keys binary, counts binary"
-PAIR_REPLIES = "bucket int, gid long, counts binary, owned binary, once long, twice long"
-SUMS = "bucket int, gid long, tables binary, customers binary"
+PAIR_REPLIES = "bucket int, gid long, counts binary, owned binary, ranks binary, once long, twice long"
+SUMS = "bucket int, gid long, kind int, tables binary, customers binary"
+PAIR_TABLES = "bucket int, gid long, tables binary"
 SEATS = "bucket int, gid long, own binary, customers binary, tables binary, n_customers long, n_tables long, once long, twice long"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 STATS = -1  # the chunk number of rows that hold totals of a bucket
+OF_WORDS, OF_PAIRS = 0, 1  # whose buckets a row of SUMS is for
 
 
 # -- numbers and words as bytes ------------------------------------------------------
@@ -134,7 +137,8 @@ class _Texts:
         lengths, codes = _unpacked(chunk["lengths"]) + 1, _unpacked(chunk["codes"])
         end, begin = len(self.words) - 2, len(self.words) - 1
         last = np.cumsum(lengths) - 1
-        self.word = np.empty(int(lengths.sum()), np.int64)
+        # a chunk's numbers are below 2**31, as its words and documents take a byte each at least
+        self.word = np.empty(int(lengths.sum()), np.int32)
         inside = np.ones(len(self.word), bool)
         inside[last] = False
         self.word[inside], self.word[last] = codes, end
@@ -143,7 +147,7 @@ class _Texts:
         self.before[last - lengths + 1] = begin
         self.lengths = lengths
         self.held = np.array(chunk["held"], bool)
-        self.document = np.repeat(np.arange(len(lengths)), lengths)
+        self.document = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
 
     def word_counts(self) -> np.ndarray:
         """Training tokens of each word; of the beginning the training documents."""
@@ -151,16 +155,25 @@ class _Texts:
         counts[-1] = np.count_nonzero(~self.held)
         return counts
 
-    def find_pairs(self, buckets: int) -> None:
-        """Distinct pairs in order of their fingerprints, and the pair of each token."""
+    def find_pairs(self, buckets: int, of_tokens: bool = True) -> None:
+        """Distinct pairs in order of their fingerprints, and, if asked for, the pair of each token."""
         m = len(self.words)
-        distinct, pair = np.unique(self.before * m + self.word, return_inverse=True)
+        both = self.before.astype(np.int64)
+        both *= m
+        both += self.word
+        distinct = np.unique(both, return_inverse=of_tokens)
+        if of_tokens:
+            distinct, pair = distinct
+            pair = pair.astype(np.int32)
+        del both
         keys = mix(self.hashes[distinct // m] ^ mix(self.hashes[distinct % m], 31), 32)
         order = np.argsort(keys)
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        self.keys, distinct, self.pair = keys[order], distinct[order], place[pair]
-        self.context, self.dish = distinct // m, distinct % m
+        self.keys, distinct = keys[order], distinct[order]
+        if of_tokens:
+            place = np.empty(len(order), np.int32)
+            place[order] = np.arange(len(order), dtype=np.int32)
+            self.pair = place[pair]
+        self.context, self.dish = (distinct // m).astype(np.int32), (distinct % m).astype(np.int32)
         self.pair_cuts = np.searchsorted(bucket_of(self.keys, buckets), np.arange(buckets + 1, dtype=np.uint64))
 
     def of_words(self, replies: list[dict], column: str) -> np.ndarray:
@@ -235,7 +248,7 @@ def _merge_words(offers: pa.Table) -> pa.Table:
 
 
 def _merge_pairs(offers: pa.Table) -> pa.Table:
-    """Counts of a bucket's pairs over all chunks, and which chunk owns a pair: the first that learns it."""
+    """Counts of a bucket's pairs over all chunks, which chunk owns a pair, the first that learns it, and the pairs' ranks here as steps."""
     rows = sorted(_rows(offers), key=lambda r: r["gid"])
     keys = [np.cumsum(_unpacked(r["keys"]).view(np.uint64), dtype=np.uint64) for r in rows]
     cuts = np.cumsum([0, *map(len, keys)])
@@ -246,16 +259,30 @@ def _merge_pairs(offers: pa.Table) -> pa.Table:
     total = np.add.reduceat(counts[order], first)
     all_counts = np.empty_like(counts)
     all_counts[order] = np.repeat(total, np.diff(np.append(first, len(order))))
+    ranks = np.empty(len(order), np.int64)
+    ranks[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(order))))
     learned = np.flatnonzero(counts[order] > 0)
     group = np.searchsorted(first, learned, "right")
     owned = np.zeros(len(order), np.int64)
     owned[order[learned[np.diff(group, prepend=-1) > 0]]] = 1
     bucket = rows[0]["bucket"]
-    out = [(bucket, r["gid"], _packed(all_counts[a:z]), _packed(owned[a:z]), 0, 0) for r, a, z in zip(rows, cuts[:-1], cuts[1:])]
-    out.append((bucket, STATS, b"", b"", int(np.count_nonzero(total == 1)), int(np.count_nonzero(total == 2))))
+    out = [(bucket, r["gid"], _packed(all_counts[a:z]), _packed(owned[a:z]), _packed(np.diff(ranks[a:z], prepend=0)), 0, 0) for r, a, z in zip(rows, cuts[:-1], cuts[1:])]
+    out.append((bucket, STATS, b"", b"", b"", int(np.count_nonzero(total == 1)), int(np.count_nonzero(total == 2))))
     return pa.Table.from_batches([_batch(PAIR_REPLIES, out)])
 
 
+def _spread_tables(state: pa.Table, reports: pa.Table) -> pa.Table:
+    """The tables that owners report of a bucket's pairs, sent to each chunk in its order; a pair that nobody learns has none."""
+    reported = {r["gid"]: _unpacked(r["tables"]) for r in _rows(reports)}
+    rows = [r for r in _rows(state) if r["gid"] != STATS]
+    ranks = [np.cumsum(_unpacked(r["ranks"])) for r in rows]
+    tables = np.zeros(max((int(mine[-1]) + 1 for mine in ranks if len(mine)), default=0), np.int64)
+    for r, mine in zip(rows, ranks):
+        if r["gid"] in reported:
+            tables[mine[_unpacked(r["owned"]) > 0]] = reported[r["gid"]]
+    return pa.Table.from_batches([_batch(PAIR_TABLES, [(r["bucket"], r["gid"], _packed(tables[mine])) for r, mine in zip(rows, ranks)])])
+
+
 def _seat_words(state: pa.Table, reports: pa.Table, weight: float | None, discount: float, sweep: int) -> pa.Table:
     """The restaurant of single words: customers are the tables of all contexts; its tables are seated here.
 
@@ -299,13 +326,15 @@ def _of_kind(replies: pa.Table, kind: int) -> list[dict]:
     return list(_rows(replies.filter(pc.equal(replies["kind"], kind))))
 
 
-def _sweep(chunk: pa.Table, replies: pa.Table, buckets: int, sweep: int, scalars: dict | None) -> pa.Table:
-    """Seats the pairs that the chunk owns and reports their tables to the words."""
+def _sweep(chunk: pa.Table, replies: pa.Table, buckets: int, sweep: int, scalars: dict | None, used: bool) -> pa.Table:
+    """Seats the pairs that the chunk owns and reports their tables to the words, and to the pairs if the sweep is used."""
     if not len(chunk):
         return pa.Table.from_batches([_batch(SUMS, [])])
     row = next(_rows(chunk))
     texts = _Texts(row, buckets)
-    texts.find_pairs(buckets)
+    texts.find_pairs(buckets, of_tokens=False)
+    # the tokens are not looked at again
+    del texts.word, texts.before, texts.document
     pairs = _of_kind(replies, 1)
     owned = np.flatnonzero(texts.of_pairs(pairs, "b"))
     counts = texts.of_pairs(pairs, "a")[owned]
@@ -321,7 +350,10 @@ def _sweep(chunk: pa.Table, replies: pa.Table, buckets: int, sweep: int, scalars
     for b, (a, z) in enumerate(zip(texts.word_cuts[:-1], texts.word_cuts[1:])):
         if z > a:
             mine = texts.by_bucket[a:z]
-            out.append((b, row["gid"], _packed(own[mine]), _packed(customers[mine])))
+            out.append((b, row["gid"], OF_WORDS, _packed(own[mine]), _packed(customers[mine])))
+    if used:
+        cuts = np.searchsorted(owned, texts.pair_cuts)
+        out += [(b, row["gid"], OF_PAIRS, _packed(tables[a:z]), b"") for b, (a, z) in enumerate(zip(cuts[:-1], cuts[1:])) if z > a]
     return pa.Table.from_batches([_batch(SUMS, out)])
 
 
@@ -329,8 +361,8 @@ def _seats(replies: pa.Table, kind: int) -> list[dict]:
     return [{"bucket": r["bucket"], "own": r["a"], "customers": r["b"], "tables": r["c"]} for r in _of_kind(replies, kind)]
 
 
-def _score(chunk: pa.Table, replies: pa.Table, buckets: int, first: int, scalars: list[dict]) -> pa.Table:
-    """Log-probabilities of the chunk's documents; ``scalars`` are those of sweep ``first`` - 1 and of each used one."""
+def _score(chunk: pa.Table, replies: pa.Table, buckets: int, scalars: list[dict]) -> pa.Table:
+    """Log-probabilities of the chunk's documents; ``scalars`` are those of each used sweep."""
     if not len(chunk):
         return pa.table({f.split(" ")[0]: [] for f in SCORES.split(", ")}).cast(_SCORE_SCHEMA)
     row = next(_rows(chunk))
@@ -338,16 +370,11 @@ def _score(chunk: pa.Table, replies: pa.Table, buckets: int, first: int, scalars
     texts.find_pairs(buckets)
     known = texts.of_words(_of_kind(replies, 0), "a")
     counts = texts.of_pairs(_of_kind(replies, 1), "a")
-    several = np.flatnonzero(counts > 1)
-    before = _State(texts, _seats(replies, 2), scalars[0])
     likely = np.zeros(len(texts.keys))
-    for i, now in enumerate(scalars[1:]):
-        tables = np.minimum(counts, 1)
-        tables[several] = seat(counts[several], before.new_table(texts, several), now["discount"], texts.keys[several], first + i)
-        after = _State(texts, _seats(replies, 3 + i), now)
-        likely += counts - now["discount"] * tables + after.new_table(texts, slice(None))
-        before = after
-    likely /= (len(scalars) - 1) * (STRENGTH + known[texts.context])
+    for i, now in enumerate(scalars):
+        after = _State(texts, _seats(replies, 2 + 2 * i), now)
+        likely += counts - now["discount"] * texts.of_pairs(_of_kind(replies, 3 + 2 * i), "a") + after.new_table(texts, slice(None))
+    likely /= len(scalars) * (STRENGTH + known[texts.context])
     n, kinds = scalars[0]["tokens"], scalars[0]["kinds"]
     base = np.log10((known + 1) / (n + (kinds + 1)))
     size = len(texts.lengths)
@@ -439,10 +466,17 @@ def score_texts(
 
     known = reply(pairs, 1, "counts", "owned")
     seats: list[DataFrame] = []
+    tables: list[DataFrame] = []
     scalars: list[dict] = []
     for sweep in range(sweeps + 1):
         replies = known.unionByName(reply(seats[-1], 2, "own", "customers", "tables")) if seats else known
-        sums = in_chunks(replies, partial(_sweep, buckets=buckets, sweep=sweep, scalars=scalars[-1] if scalars else None), SUMS)
+        used = sweep > unused
+        sums = in_chunks(replies, partial(_sweep, buckets=buckets, sweep=sweep, scalars=scalars[-1] if scalars else None, used=used), SUMS)
+        if used:
+            sums = stored(sums, f"lm-sums-{sweep}")
+            told = sums.where(F.col("kind") == OF_PAIRS).groupBy("bucket")
+            tables.append(stored(pairs.groupBy("bucket").cogroup(told).applyInArrow(_spread_tables, PAIR_TABLES), f"lm-tables-{sweep}"))
+            sums = sums.where(F.col("kind") == OF_WORDS)
         weight = (STRENGTH + fixed["parent_discount"] * scalars[-1]["n_tables"]) / (fixed["kinds"] + 1) if scalars else None
         seated = words.groupBy("bucket").cogroup(sums.groupBy("bucket")).applyInArrow(partial(_seat_words, weight=weight, discount=fixed["parent_discount"], sweep=sweep), SEATS)
         seats.append(stored(seated, f"lm-seats-{sweep}"))
@@ -452,6 +486,6 @@ def score_texts(
         scalars.append({**fixed, "n_customers": total[0] or 0, "n_tables": total[1] or 0})
 
     replies = reply(words, 0, "counts").unionByName(known)
-    for kind, table in enumerate(seats[unused:], start=2):
-        replies = replies.unionByName(reply(table, kind, "own", "customers", "tables"))
-    return in_chunks(replies, partial(_score, buckets=buckets, first=unused + 1, scalars=scalars[unused:]), SCORES)
+    for i, (seated, table) in enumerate(zip(seats[unused + 1 :], tables)):
+        replies = replies.unionByName(reply(seated, 2 + 2 * i, "own", "customers", "tables")).unionByName(reply(table, 3 + 2 * i, "tables"))
+    return in_chunks(replies, partial(_score, buckets=buckets, scalars=scalars[unused + 1 :]), SCORES)

@@ -11,12 +11,13 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from __spark_entry__ import SMOKE_DIR
 from pyspark.sql import functions as F
 
-from stocktake.llm import queries, seating
+from stocktake.llm import language_model, queries, seating
 from stocktake.llm.hashing import mix
 from stocktake.llm.language_model import score_texts
 from stocktake.llm.prefix_trie import prefix_trie, rebuilt, turns, whole
@@ -254,6 +255,24 @@ def test_all_words_of_a_long_batch_are_counted(spark, prose):
     assert sorted(map(tuple, got.collect())) == expected
 
 
+def test_chunks_hold_little_text_and_seat_without_a_pair_per_token(spark, prose):
+    assert language_model.CHUNK_BYTES <= 20 << 20  # what a task holds follows from it
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3], "text": [prose(i, 60) for i in range(3)], "held_out": [False, True, False]})
+    chunk = next(language_model._rows(language_model._chunk([batch], 7)))
+    whole, lean = language_model._Texts(chunk, 3), language_model._Texts(chunk, 3)
+    whole.find_pairs(3)
+    lean.find_pairs(3, of_tokens=False)
+    assert not hasattr(lean, "pair")
+    for name in ("keys", "context", "dish", "pair_cuts"):
+        assert np.array_equal(getattr(whole, name), getattr(lean, name))
+    assert np.array_equal(whole.context[whole.pair], whole.before) and np.array_equal(whole.dish[whole.pair], whole.word)
+
+
+def test_pairs_are_seated_by_their_owners_only():
+    # popular pairs are in every chunk: a chunk that scores must not seat them again
+    assert "seat" not in language_model._score.__code__.co_names
+
+
 def test_scores_without_texts_to_learn_from(spark):
     got = _scored(spark, [(1, "all held out", "test"), (2, None, "test")]).collect()
     assert sorted((x.doc_id, x.n_tokens, x.n_known, x.train_tokens, x.base_score, x.score) for x in got) == [(1, 4, 0, 0, 0.0, 0.0), (2, 1, 0, 0, 0.0, 0.0)]
