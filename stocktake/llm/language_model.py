@@ -161,10 +161,13 @@ class _Texts:
         both = self.before.astype(np.int64)
         both *= m
         both += self.word
-        distinct = np.unique(both, return_inverse=of_tokens)
         if of_tokens:
-            distinct, pair = distinct
+            distinct, pair = np.unique(both, return_inverse=True)
             pair = pair.astype(np.int32)
+        else:
+            # without the inverse np.unique hashes, which takes many times as long
+            both.sort()
+            distinct = both[np.append(True, both[1:] != both[:-1])]
         del both
         keys = mix(self.hashes[distinct // m] ^ mix(self.hashes[distinct % m], 31), 32)
         order = np.argsort(keys)
