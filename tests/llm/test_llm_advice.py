@@ -6,12 +6,13 @@ import math
 import random
 import re
 from collections import Counter
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from stocktake.llm import toxicity
 from stocktake.llm.decontaminate import leaks
-from stocktake.llm.line_dedup import banding, deduped, least_agreeing, without_lines
+from stocktake.llm.line_dedup import banding, deduped, least_agreeing, line_groups, numbered, without_lines
 from stocktake.llm.pii import pseudonymised
 
 
@@ -132,3 +133,15 @@ def test_foreign_phones_are_permuted(docs_of):
     numbers = [f"+44 20 7946 {k:04d}" for k in range(0, 900, 3)]
     got = [x.text for x in pseudonymised(docs_of(enumerate(numbers)), "key").collect()]
     assert len(set(got)) == len(numbers) and all(re.fullmatch(r"\+44 \d\d \d{4} \d{4}", x) for x in got)
+
+
+def test_line_dedup_leaves_no_shuffle_files(spark, docs_of, prose):
+    folders = [f.getPath() for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {str(p) for f in folders for p in Path(f).rglob("shuffle_*")}
+    lines = [prose(780 + i, 14) for i in range(40)]
+    docs = docs_of([(1, "\n".join(lines)), (2, "\n".join(_typo(x, x.find(" ", 20) + 1) for x in lines))])
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    known, setting = files(), spark.conf.get(name, None)
+    _, kept = line_groups(numbered(docs))
+    assert not files() - known and spark.conf.get(name, None) == setting
+    assert kept.count() == kept.count() == 80
