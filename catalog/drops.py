@@ -31,6 +31,38 @@ def write_documents(documents: DataFrame, folder: str) -> None:
     written.mapInArrow(put, "name string").write.format("noop").mode("overwrite").save()
 
 
+def write_parts(parts: DataFrame, folder: str, order: list[str], separator: str, tail: str) -> None:
+    """One file per name of ``name, head, part``: the head, the parts in order and the tail.
+
+    The rows of a file are sorted in one task that writes them as they come, so
+    it holds some thousands of them and never a file.
+    """
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, place = FileSystem.from_uri(folder)
+        system.create_dir(place, recursive=True)
+        stream, last = None, None
+        for batch in batches:
+            for name, head, part in zip(*(batch[c].to_pylist() for c in ("name", "head", "part"))):
+                if name is None:
+                    raise ValueError(f"a part without a file: {part}")
+                if name == last:
+                    stream.write(f"{separator}{part}".encode())
+                    continue
+                if stream:
+                    stream.write(tail.encode())
+                    stream.close()
+                stream, last = system.open_output_stream(f"{place}/{name}", buffer_size=1 << 20), name
+                stream.write(f"{head}{part}".encode())
+            yield batch.select(["name"]).slice(0, 0)
+        if stream:
+            stream.write(tail.encode())
+            stream.close()
+
+    sorted_parts = parts.repartition("name").sortWithinPartitions("name", *order).select("name", "head", "part")
+    sorted_parts.mapInArrow(put, "name string").write.format("noop").mode("overwrite").save()
+
+
 def write_lines(lines: DataFrame, folder: str, name: str, header: str, charset: str) -> None:
     """One file of all rows of one text column.
 

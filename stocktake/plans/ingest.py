@@ -113,10 +113,11 @@ def land(spark: SparkSession, source: Source, listing: DataFrame, bronze: str) -
 
     def read_rows(files: DataFrame) -> DataFrame:
         listed = [r["path"] for r in files.select("path").toLocalIterator()]  # one slice, see FILES_PER_COMMIT
-        rows = source.read(spark, [literal(p) for p in local_names(listed)])
-        if not same_files(rows.inputFiles(), listed):
+        paths = [literal(p) for p in local_names(listed)]
+        # by a scan of the same paths, as a source may read pieces of a file
+        if not same_files(spark.read.format("binaryFile").load(paths).inputFiles(), listed):
             raise ValueError(f"the files read for {source.table} are not those listed")
-        return rows
+        return source.read(spark, paths)
 
     return ingest(VersionedTable(spark, f"{bronze}/{source.table}"), listing, read_rows, source.mode)
 

@@ -9,7 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stocktake.sources.files import file_columns
+from stocktake.session import new_work_path
+from stocktake.sources.files import file_columns, literal, local_names, plain_name
+from stocktake.sources.pieces import write_pieces
+
+#: Larger documents are cut into pieces first, as a task that parses one holds all of its records.
+WHOLE_BYTES = 8 << 20
 
 
 def text_schema(schema: T.DataType) -> T.DataType:
@@ -53,12 +58,16 @@ def read_envelopes(
     """One row per element of ``items``; the envelope's own fields are dropped.
 
     A broken document, or one without the list, is an error and never skipped.
-    A file is one document (read by one task) or, with ``one_per_line``, one
-    document per line, which scans in splits. Passing a schema saves the pass
+    A file is one document (a large one is cut into pieces first, by one task that
+    streams through it) or, with ``one_per_line``, one document per line, which
+    scans in splits. Passing a schema saves the pass
     that infers it. ``record`` names fields that every element is known to have;
     they are columns even if all lists are empty, other fields found come after.
     """
     reader = spark.read.option("multiLine", not one_per_line).option("mode", "FAILFAST")
+    came_from = file_columns()
+    if not one_per_line:
+        paths, came_from = _without_large(spark, paths, items)
     inferred = schema or _inferred(spark, paths, one_per_line)
     found = inferred
     if record:
@@ -70,12 +79,35 @@ def read_envelopes(
     documents = reader.schema(T.StructType(fields)).json(list(paths))
     missing = F.raise_error(F.concat(F.lit(f"no list of {items} in "), F.col("_metadata.file_path")))
     listed = F.when(F.col(items).isNull(), missing).otherwise(F.col(items))
-    records = documents.select(F.explode(listed).alias("_record"), *file_columns())
+    records = documents.select(F.explode(listed).alias("_record"), *came_from)
     if not isinstance(records.schema["_record"].dataType, T.StructType):  # every list is empty
         return records.drop("_record")
     return flatten(records.select("_record.*", "_arquivo_origem", "_path"))
 
 
+def _without_large(spark: SparkSession, paths: Sequence[str], items: str) -> tuple[Sequence[str], list[Column]]:
+    """The paths with folders of pieces in place of the large documents among them, and the columns that say where rows came from."""
+    found = spark.read.format("binaryFile").load(list(paths)).select(F.col("_metadata.file_path").alias("path"), "length")
+    large = [r["path"] for r in found.where(F.col("length") > WHOLE_BYTES).select("path").orderBy("path").collect()]  # of one slice
+    if not large:
+        return paths, file_columns()
+    folder = new_work_path(spark, "pieces")
+    numbered = spark.createDataFrame(list(enumerate(large)), "number long, path string")
+    # a task each, as each is long
+    counts = write_pieces(numbered.repartitionByRange(len(large), "number"), items, folder)
+    cut = {r["number"] for r in counts.collect() if r["pieces"]}
+    if not cut:
+        return paths, file_columns()
+    gone = {large[i] for i in cut}
+    whole = [literal(p) for p in local_names([r["path"] for r in found.select("path").toLocalIterator() if r["path"] not in gone])]
+    # of a piece, the number of the document that its folder has for a name
+    number = F.regexp_extract("_metadata.file_path", f"/{folder.rpartition('/')[2]}/([0-9]+)/[^/]*$", 1)
+    names = F.array(*(F.lit(p) for p in large))
+    path = F.when(number == "", F.col("_metadata.file_path")).otherwise(F.get(names, F.try_to_number(number, F.lit("9999999")).cast("int")))
+    name = plain_name(F.element_at(F.split(path, "/"), -1))
+    return [*whole, *(literal(f"{folder}/{i}") for i in sorted(cut))], [name.alias("_arquivo_origem"), path.alias("_path")]
+
+
 def _inferred(spark: SparkSession, paths: Sequence[str], one_per_line: bool) -> T.StructType:
     """The schema of all documents, inferred in the JVM.
 
